@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import license_scan, line_dedup, url_filter
+from courtside.llm import license_scan, line_dedup, minhash, near_vectors, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,9 +109,40 @@ FROM split LEFT JOIN by_doc USING (doc_id)
 """
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), lowest AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+), degree AS (
+  SELECT a, count(*) AS n FROM link GROUP BY a
+)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(coalesce(low, e.vec_id), e.vec_id) AS component_id,
+       least(coalesce(low, e.vec_id), e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN lowest w ON w.a = e.vec_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_line_dedup": op4_line_dedup,
+    "op5_near_vectors": op5_near_vectors,
+    "op7_minhash": op7_minhash,
     "op8_license_scan": op8_license_scan,
 }
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op8_license_scan": _op8_sql()}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_near_vectors": OP5_SQL, "op8_license_scan": _op8_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import license_scan, line_dedup, minhash, near_vectors, url_filter
+from courtside.llm import bpe, decontaminate, license_scan, line_dedup, minhash, near_vectors, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,11 +138,27 @@ FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN lowest w ON w.a
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", (~F.col("contaminated")).alias("kept"), "items", "matches")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.broadcast_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    ids = F.array_join(F.col("tokens").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_vectors": op5_near_vectors,
+    "op6_decontaminate": op6_decontaminate,
     "op7_minhash": op7_minhash,
     "op8_license_scan": op8_license_scan,
+    "op10_bpe": op10_bpe,
 }
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_near_vectors": OP5_SQL, "op8_license_scan": _op8_sql()}

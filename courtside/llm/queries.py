@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import bpe, decontaminate, license_scan, line_dedup, minhash, near_vectors, url_filter
+from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, near_vectors, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +152,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.train_part(docs).select("text", "lang"))
+    return langid.identify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_line_dedup": op4_line_dedup,
@@ -159,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_minhash": op7_minhash,
     "op8_license_scan": op8_license_scan,
+    "op9_langid": op9_langid,
     "op10_bpe": op10_bpe,
 }
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_near_vectors": OP5_SQL, "op8_license_scan": _op8_sql()}

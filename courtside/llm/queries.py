@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, near_vectors, url_filter
+from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, near_vectors, quality, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,8 +158,14 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_vectors": op5_near_vectors,
     "op6_decontaminate": op6_decontaminate,

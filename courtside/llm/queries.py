@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, near_vectors, quality, url_filter
+from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, near_vectors, quality, suffix_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,7 +163,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), digest(F.col("kept")).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,

@@ -155,11 +155,11 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                lang, score = scorer.score(batch.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*carry, "lang_pred", "score"])
+                lang, score = scorer.score(batch.column(text_col).to_pylist())
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*carry, "lang_pred", "score"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", lang_pred string, score double"
-    return docs.select(docs[text_col].alias("_text"), *[docs[c] for c in carry]).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([text_col, *carry])).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

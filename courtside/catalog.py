@@ -1,6 +1,5 @@
 """Registry of the queries over the driver tables and of their DuckDB statements."""
 
-from __future__ import annotations
+from courtside.plans.queries import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -7,7 +7,9 @@ across the border before both are complete. So appending costs only the new byte
 computed anew only until as many of them as the longest token agree with what was stored.
 
 A text is cut by the pre-tokenisation pattern and each match is encoded on its own; a match that is a token is that token.
-Matches recur, so each Python worker keeps their encodings in a table of at most ``CACHE`` entries. The rank file (some
+Matches recur, so each Python worker keeps their encodings in two tables of at most ``CACHE`` entries (when the newer one
+is full it becomes the older). New matches of a batch are encoded in sorted order, and each goes on from the prefix that
+it shares with the one before. The rank file (some
 hundred kB; its size is checked) is read on the driver and broadcast. Texts are never shuffled.
 
 Defined cases: a null or empty text has no tokens and decodes to no bytes; repeated rows give repeated results; extra
@@ -23,11 +25,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 #: Entries of each table that a worker keeps (matches, token pairs).
-CACHE = 300_000
+CACHE = 400_000
+#: Texts handled together.
+ROWS = 500
 #: Rank files up to this size may be broadcast.
 MAX_RANK_BYTES = 64 << 20
 _NEVER = 1 << 62
@@ -45,9 +50,12 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: b for b, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
+        #: The ends of all tokens: the rank of those that are tokens, -1 for the others.
+        self.ends = {b[i:]: -1 for b in ranks for i in range(1, len(b))} | ranks
         self._halves: dict[int, tuple[bytes, bytes] | None] = {}
         self._edges: tuple[dict, dict] = ({}, {})
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._formed: set[int] = set()
 
     def halves(self, token: int) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes this one; None where merging its bytes never does."""
@@ -63,7 +71,11 @@ class Vocabulary:
         return self._halves[token]
 
     def reachable(self, token: int) -> bool:
-        return len(self.bytes[token]) == 1 or self.halves(token) is not None
+        """Whether merging the token's bytes makes the token."""
+        if len(self.bytes[token]) > 1 and self.halves(token) is None:
+            return False
+        self._formed.add(token)
+        return True
 
     def edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
         """The tokens that stand at an edge (0: left, 1: right) while this one forms, each with the rank that ends it."""
@@ -84,23 +96,35 @@ class Vocabulary:
         A merge across the border comes first if its rank is below the one that ends the left part and not above the one
         that ends the right part (of equal ranks the leftmost merge is made first).
         """
-        key = (left, right)
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) >= CACHE:
-                self._pairs.clear()
-            found = True
-            get = self.ranks.get
-            for a, a_ends in self.edge(left, 1):
-                for b, b_ends in self.edge(right, 0):
-                    r = get(a + b)
-                    if r is not None and r < a_ends and r <= b_ends:
-                        found = False
-                        break
-                if not found:
-                    break
-            self._pairs[key] = found
-        return found
+        get = self.ranks.get
+        for a, a_ends in self.edge(left, 1):
+            for b, b_ends in self.edge(right, 0):
+                r = get(a + b)
+                if r is not None and r < a_ends and r <= b_ends:
+                    return False
+        return True
+
+    def last_token(self, data: bytes, i: int, last: list[int]) -> int:
+        """The last token of the first i bytes, from the last tokens of all shorter prefixes."""
+        get, pairs = self.ends.get, self._pairs
+        for start in range(i - 1, -1, -1):
+            t = get(data[start:i])
+            if t is None:  # no token ends like this, so no longer one does
+                break
+            if t < 0:
+                continue
+            if start:
+                key = last[start - 1] << 32 | t
+                fits = pairs.get(key)
+                if fits is None:
+                    if len(pairs) >= CACHE:
+                        pairs.clear()
+                    fits = pairs[key] = self.may_follow(last[start - 1], t)
+                if not fits:
+                    continue
+            if t in self._formed or self.reachable(t):
+                return t
+        raise ValueError(f"byte {data[i - 1]} has no token")
 
 
 class PrefixEncoding:
@@ -112,20 +136,15 @@ class PrefixEncoding:
         self.last: list[int] = []
         self.append(data)
 
-    def _token(self, i: int) -> int:
-        """The last token of the first i bytes, from what is stored for shorter prefixes."""
-        v, data, last = self.vocabulary, self.data, self.last
-        get, may_follow = v.ranks.get, v.may_follow
-        for start in range(max(0, i - v.longest), i):
-            t = get(data[start:i])
-            if t is not None and v.reachable(t) and (start == 0 or may_follow(last[start - 1], t)):
-                return t
-        raise ValueError(f"byte {data[i - 1]} has no token")
-
     def append(self, data: bytes) -> None:
         self.data += data
-        for i in range(len(self.last) + 1, len(self.data) + 1):
-            self.last.append(self._token(i))
+        step, whole, last = self.vocabulary.last_token, self.data, self.last
+        for i in range(len(last) + 1, len(whole) + 1):
+            last.append(step(whole, i, last))
+
+    def truncate(self, size: int) -> None:
+        self.data = self.data[:size]
+        del self.last[size:]
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Put data in place of the bytes from start to end; returns how many positions were computed anew."""
@@ -134,7 +153,7 @@ class PrefixEncoding:
         agreed, done = 0, 0
         border = start + len(data)
         for i in range(start + 1, len(self.data) + 1):
-            t = self._token(i)
+            t = self.vocabulary.last_token(self.data, i, self.last)
             self.last.append(t)
             done += 1
             if i > border:
@@ -152,29 +171,75 @@ class PrefixEncoding:
         return out[::-1]
 
 
-class Encoder(dict):
-    """Matches of the pattern -> their tokens; unknown ones are encoded on first use."""
+class Encoder:
+    """Texts to tokens, with the encodings of matches that have been met."""
 
     def __init__(self, content: bytes, pattern: str) -> None:
         import regex
 
-        super().__init__()
         self.vocabulary = Vocabulary(parse_ranks(content))
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         # \s is White_Space here, which the rule files mean; the module's own \s also takes some control characters
         self.cut = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
 
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        if len(self) >= CACHE:
-            self.clear()
-        data = match.encode()
-        whole = self.vocabulary.ranks.get(data)
-        found = (whole,) if whole is not None else tuple(PrefixEncoding(self.vocabulary, data).tokens())
-        if len(data) <= 64:
-            self[match] = found
-        return found
+    def learn(self, matches: set[str]) -> None:
+        """Put the encodings of all these matches into the newer table."""
+        unknown = matches.difference(self.new)
+        if len(self.new) + len(unknown) > CACHE:
+            self.old, self.new = self.new, {}
+            unknown = matches
+        known = unknown.intersection(self.old)
+        for m in known:
+            self.new[m] = self.old[m]
+        get = self.vocabulary.ranks.get
+        prefix = PrefixEncoding(self.vocabulary)
+        for data, m in sorted((m.encode(), m) for m in unknown.difference(known)):
+            whole = get(data)
+            if whole is not None:
+                self.new[m] = (whole,)
+                continue
+            before = prefix.data
+            same = min(len(before), len(data))
+            while before[:same] != data[:same]:
+                same -= 1
+            prefix.truncate(same)
+            prefix.append(data[same:])
+            self.new[m] = tuple(prefix.tokens())
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self.cut(t) for t in texts]
+        self.learn(set().union(*cut))
+        get = self.new.__getitem__
+        return [np.fromiter(chain.from_iterable(map(get, c)), dtype=np.int32) for c in cut]
 
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, self.cut(text))), dtype=np.int32)
+        return self.encode_batch([text])[0]
+
+
+class Decoder:
+    """Token ids to bytes, for many texts at once."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        size = max(ranks.values(), default=-1) + 1
+        self.length = np.full(size, -1, dtype=np.int64)
+        self.start = np.zeros(size, dtype=np.int64)
+        for token, rank in ranks.items():
+            self.length[rank] = len(token)
+        at = 0
+        for token, rank in ranks.items():
+            self.start[rank] = at
+            at += len(token)
+        self.bytes = np.frombuffer(b"".join(ranks), dtype=np.uint8)
+
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all lists of ids (list i has those from ends[i] to ends[i + 1]) and where each list's bytes end."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or (self.length[ids] < 0).any()):
+            raise KeyError("an id is not in the vocabulary")
+        length = self.length[ids]
+        before = np.concatenate(([0], np.cumsum(length)))
+        take = np.repeat(self.start[ids] - before[:-1], length) + np.arange(before[-1])
+        return self.bytes[take], before[ends]
 
 
 _HELD: dict[tuple[int, str], Encoder] = {}
@@ -206,15 +271,14 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = [encoder.encode(t or "") for t in batch.column(0).to_pylist()]
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = encoder.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))], names=[*kept, "tokens"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))], names=[*kept, "tokens"])
 
-    source = docs.select(docs[text_col].alias("_text"), *[docs[c] for c in kept])
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", tokens array<int>"
-    return source.mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([text_col, *kept])).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: Broadcast, tokens_col: str = "tokens") -> DataFrame:
@@ -225,11 +289,14 @@ def decode(encoded: DataFrame, ranks: Broadcast, tokens_col: str = "tokens") ->
     names = [*encoded.columns, "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {r: b for b, r in parse_ranks(ranks.value).items()}.__getitem__
+        decoder = Decoder(parse_ranks(ranks.value))
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                out = [b"".join(map(known, ids or ())) for ids in batch.column(at_tokens).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=names)
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                lists = batch.column(at_tokens)
+                ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+                data, stops = decoder.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends)
+                out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=names)
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary")

@@ -113,7 +113,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     )
     out = split.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")})
     schema = out.schema
-    for block in blocks(rules, block_bytes):
+    # longer hosts first: of equally long rules the one met first stays
+    for block in blocks(sorted(rules, key=lambda r: (-len(r[0]), r)), block_bytes):
         swept = pages.sparkSession.sparkContext.broadcast(RuleSweep(block))
 
         def judge(batches: Iterator[pd.DataFrame], swept=swept) -> Iterator[pd.DataFrame]:

@@ -7,11 +7,13 @@
 2. Documents with equal sets form a class; only its smallest id is compared further.
 3. Band buckets: every class is paired with the smallest of its bucket (a star, never all pairs), candidate texts are
    gathered once, pairs are verified on full sets and links grouped.
-4. Buckets that still hold several groups yield the pairs across different groups, which are verified as well, so every
-   candidate pair that could join two groups has been looked at. Large ones are first split by pairs of bands: documents
-   of the wanted similarity meet in several bands, others rarely do.
+4. Buckets that still hold several groups are searched for links across them. A document leaves the search if so many of
+   its shingles occur in no other document of these buckets that it cannot reach the similarity with any; pairs leave it
+   by the same bound for two, or if their signatures agree in less than ``SIGMAS`` standard deviations below what the
+   similarity implies. A pair is listed in the first bucket the two share only. What is left is verified on full sets.
 
-At 0.8 and 30 bands of 5 rows a linked pair shares no band with probability 7e-6.
+At 0.8 and 30 bands of 5 rows a linked pair shares no band with probability 7e-6, and step 4 passes over one with less than
+4e-5; two groups stay apart only if that happens to every link between them.
 
 Defined cases: null or blank texts have no shingles and link with nothing; rows with a null id count as one document that
 comes after all others (its component shows as null where it stands alone); rows with the same id count as one document,
@@ -33,8 +35,8 @@ from courtside.llm.tokens import mix, shingles, words_of_batch
 WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 30, 5
-#: Buckets with more classes than this are split by pairs of bands before pairs across groups are listed.
-LARGE = 64
+#: Standard deviations by which signature agreement may fall short.
+SIGMAS = 4
 #: Elements that get ranks together.
 CHUNK = 150_000
 _FRACTION = 24
@@ -98,14 +100,17 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, f1, f2, bands) for (id, text): set size, set fingerprint (null for an empty set) and band keys."""
+    """(id, n, f1, f2, bands, sig) for (id, text): set size, set fingerprint (null for an empty set), band keys and the
+    signature in a byte for each place."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
-                keys = band_keys(super_minhash(sets, bands * rows), bands, rows)
+                sig = super_minhash(sets, bands * rows)
+                keys = band_keys(sig, bands, rows)
+                short = mix(sig.astype(np.uint64)).astype(np.uint8).view(np.int8)
                 empty = np.array([not len(s) for s in sets], dtype=bool)
                 with np.errstate(over="ignore"):
                     f1 = np.array([np.add.reduce(s) for s in sets], dtype=np.uint64).view(np.int64)
@@ -117,11 +122,12 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                         pa.array(f1, pa.int64(), mask=empty),
                         pa.array(f2, pa.int64(), mask=empty),
                         pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1))),
+                        pa.ListArray.from_arrays(np.arange(0, short.size + 1, bands * rows, dtype=np.int32), pa.array(short.reshape(-1))),
                     ],
-                    names=["id", "n", "f1", "f2", "bands"],
+                    names=["id", "n", "f1", "f2", "bands", "sig"],
                 )
 
-    return docs.mapInArrow(sign, "id long, n long, f1 long, f2 long, bands array<long>")
+    return docs.mapInArrow(sign, "id long, n long, f1 long, f2 long, bands array<long>, sig array<tinyint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -152,40 +158,62 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def across(buckets: DataFrame) -> DataFrame:
-    """(a, b), a < b: the pairs of buckets(key, id, group) whose groups differ."""
-    left = buckets.select("key", F.col("id").alias("a"), F.col("group").alias("ga"))
-    right = buckets.select("key", F.col("id").alias("b"), F.col("group").alias("gb"))
-    return left.join(right, "key").where("ga < gb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def mixed(buckets: DataFrame) -> DataFrame:
-    """Of buckets(key, id, group), those with several groups, with their size as n."""
-    several = buckets.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
-    return buckets.join(several, "key")
+    """Of buckets(key, id, group, ...), the rows of those with several groups."""
+    several = buckets.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key")
+    return buckets.join(durable(several), "key")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, large: int = LARGE) -> DataFrame:
+def lone_shingles(texts: DataFrame, words: int) -> DataFrame:
+    """(id, lone): how many shingles of each of texts(id, text) no other of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
+                ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], names=["id", "h"])
+
+    seen = texts.select("id", "text").mapInArrow(run, "id long, h long").groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    return seen.where("id = other").groupBy("id").agg(F.count("*").alias("lone"))
+
+
+def across(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of buckets(key, id, group, n, lone, bands, sig) of different groups that may be linked, each once."""
+    side = lambda s: buckets.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "n", "lone", "bands", "sig")])
+    common = F.least(F.col("n_a") - F.col("lone_a"), F.col("n_b") - F.col("lone_b"))
+    agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda z: z))
+    m, p = F.size("sig_a"), percent / 100
+    may = (
+        (F.col("group_a") < F.col("group_b"))
+        & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+        & (agree >= F.floor(m * p - SIGMAS * F.sqrt(m * (p * (1 - p)))))
+        & (F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("key"))
+    )
+    left = side("a")
+    return left.join(side("b").withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & may).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links reach) and kept (it is that id); a row per row of docs."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     sig = durable(signed(texts, words, bands, rows))
-    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
+    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n").alias("n")))
     keys = classes.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     buckets = durable(keys.join(shared, "key").select("key", "id", "first"))
     pairs = durable(buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
     candidates = durable(texts.join(buckets.select("id").distinct(), "id", "left_semi"))
     links = durable(verified(pairs, candidates, words, percent))
-    # classes that share an id (rows with the same id) and what has been verified so far
     groups = components(links)
     placed = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group"))
     open_ = durable(mixed(placed))
-    small = across(open_.where(F.col("n") <= large))
-    big = open_.where(F.col("n") > large).select("key", "id", "group")
-    others = classes.select("id", F.explode("bands").alias("other"))
-    finer = big.join(others, "id").where("key <> other").select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id", "group").distinct()
-    more = durable(small.unionByName(across(mixed(finer).drop("n"))).distinct().join(pairs, ["a", "b"], "left_anti"))
+    searched = candidates.join(open_.select("id").distinct(), "id", "left_semi")
+    able = classes.select("id", "n", "bands", "sig").join(lone_shingles(searched, words), "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    able = durable(able.where(100 * (F.col("n") - F.col("lone")) >= percent * F.col("n")).join(open_.select("id").distinct(), "id", "left_semi"))
+    more = durable(across(mixed(open_.join(able.select("id"), "id")).join(able, "id"), percent).join(pairs, ["a", "b"], "left_anti"))
     links = links.unionByName(verified(more, candidates, words, percent))
     groups = components(durable(links))
     # a class may stand for several rows; its group goes to all of them by the fingerprint

@@ -46,8 +46,9 @@ from courtside.llm.tokens import mix
 
 LENGTH = 100
 K = 16
-#: Bytes hashed together.
-BUFFER = 1 << 22
+#: Bytes hashed together; documents whose anchors are held together; contexts sorted together (whole k-mers).
+BUFFER = 1 << 20
+BATCH, SORTED = 4000, 12_000
 GROUP_BYTES = 8 << 20
 PART_BYTES = 16 << 20
 #: Buckets for each partition, so that hashing them to partitions comes out even.
@@ -131,6 +132,12 @@ def records(texts: list[bytes], length: int, k: int, hot: np.ndarray) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH):
+            yield whole.slice(at, BATCH)
+
+
 def split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, its rows in order) of each bucket."""
     order = np.argsort(bucket, kind="stable")
@@ -172,8 +179,8 @@ def sent_anchors(docs: DataFrame, length: int, k: int, hot, kmer_buckets: int, d
     """Stage A: records for the k-mer partitions, and duplicates within a batch as finished findings (bucket < 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            d = Documents(whole.column(0).to_pylist(), text_bytes(whole.column(1)))
+        for batch in small(batches):
+            d = Documents(batch.column(0).to_pylist(), text_bytes(batch.column(1)))
             kh, ch, doc, a, lo, hi = records(d.texts, length, k, hot.value)
             order = np.lexsort((ch, kh))
             again = np.concatenate(([False], (kh[order][1:] == kh[order][:-1]) & (ch[order][1:] == ch[order][:-1])))[: len(order)]
@@ -344,11 +351,10 @@ def compared(sent: DataFrame, length: int, doc_buckets: int) -> DataFrame:
         size = length + lo - hi
         begin = np.concatenate(([0], np.cumsum(size)))[:-1]
         order = np.lexsort((a, fps, ids, kh))
-        # k-mers together, about 100,000 contexts at a time
         cuts = np.flatnonzero(np.concatenate(([True], kh[order][1:] != kh[order][:-1])))
         edges = [0]
         for c in cuts.tolist():
-            if c - edges[-1] >= 100_000:
+            if c - edges[-1] >= SORTED:
                 edges.append(c)
         for x, y in zip(edges, [*edges[1:], len(order)], strict=True):
             rows = order[x:y]
@@ -409,8 +415,8 @@ def hot_kmers(docs: DataFrame, total: int, length: int, k: int) -> np.ndarray:
     sample = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            d = Documents(whole.column(0).to_pylist(), text_bytes(whole.column(1)))
+        for batch in small(batches):
+            d = Documents(batch.column(0).to_pylist(), text_bytes(batch.column(1)))
             kh, ch, *_ = records(d.texts, length, k, np.empty(0, np.uint64))
             pair = np.unique(np.stack((kh, ch)), axis=1)[0] if len(kh) else kh
             key, n = np.unique(pair, return_counts=True)

@@ -91,7 +91,7 @@ def lineup_check(spark: SparkSession, d: str) -> DataFrame:
 
 # --- weights -------------------------------------------------------------------------------------------------------
 
-_MULT = "season, season_type, garbage, CAST(count(*) AS BIGINT) AS rows, round(max({m}), 6) AS weight_mult FROM stints WHERE {m} > 0 GROUP BY ALL"
+_MULT = "season, season_type, garbage, CAST(count(*) AS BIGINT) AS rows, CAST(round(max({m}), 6) AS DOUBLE) AS weight_mult FROM stints WHERE {m} > 0 GROUP BY ALL"
 _DECAY = "power(0.9, (SELECT max(CAST(left(season, 4) AS INTEGER)) FROM stints) - CAST(left(season, 4) AS INTEGER))"
 _PLAYOFF = "(CASE WHEN season_type <> 'Regular Season' THEN 1.5 ELSE 1.0 END)"
 

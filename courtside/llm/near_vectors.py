@@ -15,7 +15,7 @@ Label groups are only sort keys, so a hot label spreads over all tasks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and those with a null label, link
 with nothing and keep their own id; vectors of different lengths never link; rows with the same id and vector count as one
-vector; a null id takes part as the largest id and is shown as null; extra columns are not read; an empty table gives an
+vector, and the links of rows with the same id and different vectors are pooled; a null id takes part as the largest id and is shown as null; extra columns are not read; an empty table gives an
 empty result. Cosines are computed in double precision; a tie with the threshold links.
 """
 
@@ -196,7 +196,6 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     keyed = own.withColumns({"h1": F.when(F.col("ok"), F.xxhash64("label", "embedding")), "h2": F.when(F.col("ok"), F.xxhash64(F.lit(7), "label", "embedding"))})
     valid = keyed.where("ok").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     counted = keyed.where("ok").select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("copies"))
-    # a class is named by its smallest id; rows with the same id and other vectors make further classes, told apart below
     classes = durable(packed(valid.select("label", "id", "embedding", "h1", "h2")).join(counted, ["h1", "h2"]))
     graph: DataFrame | None = None
     for go in range(max_rounds):

@@ -73,34 +73,40 @@ class Index:
             order = np.argsort(h, kind="stable")
             self.short[n] = (h[order], np.array(own)[order])
 
-    def hits(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, document position minus item position) of every seed hit."""
-        out: set[tuple[int, int]] = set()
+    def hits(self, texts: list[np.ndarray]) -> dict[int, set[tuple[int, int]]]:
+        """text -> (item, text position minus item position) of every seed hit; all texts are hashed as one."""
+        words = np.concatenate([*texts, np.empty(0, np.uint64)])
+        ends = np.cumsum([len(t) for t in texts])
+        out: dict[int, set[tuple[int, int]]] = {}
+
+        def look(own: np.ndarray, span: int, h: np.ndarray, item: np.ndarray, at: np.ndarray) -> None:
+            if not len(own) or not len(h):
+                return
+            few = np.zeros(1 << 16, dtype=bool)  # most windows already differ in these bits
+            few[h >> np.uint64(48)] = True
+            place = np.flatnonzero(few[own >> np.uint64(48)])
+            lo = np.searchsorted(h, own[place], "left")
+            same = h[np.minimum(lo, len(h) - 1)] == own[place]
+            place, lo = place[same], lo[same]
+            text = np.searchsorted(ends, place, "right")
+            inside = place + span <= ends[text]
+            for p, k, t in zip(place[inside].tolist(), lo[inside].tolist(), text[inside].tolist(), strict=True):
+                begin = int(ends[t]) - len(texts[t])
+                while k < len(h) and h[k] == own[p]:
+                    out.setdefault(t, set()).add((int(item[k]), p - begin - int(at[k])))
+                    k += 1
+
         for m, (h, item, at) in zip(self.masks, self.tables, strict=True):
-            out |= self._look(spaced(words, m), h, item, at)
+            look(spaced(words, m), len(m), h, item, at)
         for n, (h, item) in self.short.items():
             if len(words) >= n:
-                out |= self._look(shingles(words, n), h, item, np.zeros(len(h), np.int64))
-        return out
-
-    @staticmethod
-    def _look(own: np.ndarray, h: np.ndarray, item: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
-        if not len(own) or not len(h):
-            return set()
-        lo = np.searchsorted(h, own, "left")
-        met = np.flatnonzero(h[np.minimum(lo, len(h) - 1)] == own)
-        out = set()
-        for p in met.tolist():
-            k = int(lo[p])
-            while k < len(h) and h[k] == own[p]:
-                out.add((int(item[k]), p - int(at[k])))
-                k += 1
+                look(shingles(words, n), n, h, item, np.zeros(len(h), np.int64))
         return out
 
-    def overlaps(self, words: np.ndarray, min_words: int, short_share: float) -> dict[int, tuple[int, int, int]]:
+    def overlaps(self, words: np.ndarray, hits: set[tuple[int, int]], min_words: int, short_share: float) -> dict[int, tuple[int, int, int]]:
         """item id -> (matching words, first word, one past the last) of its best verified overlap."""
         best: dict[int, tuple[int, int, int]] = {}
-        for k, shift in self.hits(words):
+        for k, shift in sorted(hits):
             item = self.words[k]
             a, b = max(0, shift), min(len(words), shift + len(item))
             same = words[a:b] == item[a - shift : b - shift]
@@ -132,11 +138,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for at in range(0, whole.num_rows, 2000):
-                    batch = whole.slice(at, 2000)
+                for at in range(0, whole.num_rows, 500):
+                    batch = whole.slice(at, 500)
                     old = [batch.column(names.index(c)).to_pylist() for c in ("items", "matches", "spans")]
-                    for i, w in enumerate(words_of_batch(text_bytes(batch.column(names.index(text_col))))):
-                        for item, (n, a, b) in sorted(index.value.overlaps(w, min_words, short_share).items()):
+                    words = words_of_batch(text_bytes(batch.column(names.index(text_col))))
+                    for i, hits in index.value.hits(words).items():
+                        for item, (n, a, b) in sorted(index.value.overlaps(words[i], hits, min_words, short_share).items()):
                             old[0][i].append(item)
                             old[1][i].append(n)
                             old[2][i].append([a, b])

@@ -10,7 +10,8 @@
 4. Buckets that still hold several groups are searched for links across them. A document leaves the search if so many of
    its shingles occur in no other document of these buckets that it cannot reach the similarity with any; pairs leave it
    by the same bound for two, or if their signatures agree in less than ``SIGMAS`` standard deviations below what the
-   similarity implies. A pair is listed in the first bucket the two share only. What is left is verified on full sets.
+   similarity implies. A pair is looked at in the first bucket the two share only, and its full sets are compared there: links come out
+   of that join, pairs do not.
 
 At 0.8 and 30 bands of 5 rows a linked pair shares no band with probability 7e-6, and step 4 passes over one with less than
 4e-5; two groups stay apart only if that happens to every link between them.
@@ -164,35 +165,45 @@ def mixed(buckets: DataFrame) -> DataFrame:
     return buckets.join(durable(several), "key")
 
 
-def lone_shingles(texts: DataFrame, words: int) -> DataFrame:
-    """(id, lone): how many shingles of each of texts(id, text) no other of them has."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, set) of texts(id, text): the hashes of all their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
-                ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], names=["id", "h"])
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)))], names=["id", "set"])
 
-    seen = texts.select("id", "text").mapInArrow(run, "id long, h long").groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    return texts.select("id", "text").mapInArrow(run, "id long, set array<long>")
+
+
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """(id, lone): how many shingles of each of sets(id, set) no other of them has."""
+    seen = sets.select("id", F.explode("set").alias("h")).groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
     return seen.where("id = other").groupBy("id").agg(F.count("*").alias("lone"))
 
 
-def across(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of buckets(key, id, group, n, lone, bands, sig) of different groups that may be linked, each once."""
-    side = lambda s: buckets.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "n", "lone", "bands", "sig")])
-    common = F.least(F.col("n_a") - F.col("lone_a"), F.col("n_b") - F.col("lone_b"))
+def links_across(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links between different groups of buckets(key, id, group, set, lone, bands, sig).
+
+    The full sets are compared within the join, after the bounds, so only links leave it.
+    """
+    side = lambda s: buckets.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "set", "lone", "bands", "sig")])
+    n_a, n_b = F.size("set_a"), F.size("set_b")
+    reach = lambda common: 100 * common >= percent * (n_a + n_b - common)
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda z: z))
     m, p = F.size("sig_a"), percent / 100
-    may = (
-        (F.col("group_a") < F.col("group_b"))
-        & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
-        & (agree >= F.floor(m * p - SIGMAS * F.sqrt(m * (p * (1 - p)))))
-        & (F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("key"))
+    # a case is decided by its first true branch, so the costly comparison comes last and rarely
+    link = (
+        F.when(F.col("group_a") >= F.col("group_b"), False)
+        .when(~reach(F.least(n_a - F.col("lone_a"), n_b - F.col("lone_b"))), False)
+        .when(F.get(F.array_intersect("bands_a", "bands_b"), 0) != F.col("key"), False)
+        .when(agree < F.floor(m * p - SIGMAS * F.sqrt(m * (p * (1 - p)))), False)
+        .otherwise(reach(F.size(F.array_intersect("set_a", "set_b"))))
     )
-    left = side("a")
-    return left.join(side("b").withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & may).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+    return side("a").join(side("b").withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & link).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -200,7 +211,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     sig = durable(signed(texts, words, bands, rows))
-    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n").alias("n")))
+    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     keys = classes.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     buckets = durable(keys.join(shared, "key").select("key", "id", "first"))
@@ -211,10 +222,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("group"))
     open_ = durable(mixed(placed))
     searched = candidates.join(open_.select("id").distinct(), "id", "left_semi")
-    able = classes.select("id", "n", "bands", "sig").join(lone_shingles(searched, words), "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-    able = durable(able.where(100 * (F.col("n") - F.col("lone")) >= percent * F.col("n")).join(open_.select("id").distinct(), "id", "left_semi"))
-    more = durable(across(mixed(open_.join(able.select("id"), "id")).join(able, "id"), percent).join(pairs, ["a", "b"], "left_anti"))
-    links = links.unionByName(verified(more, candidates, words, percent))
+    sets = durable(shingle_sets(searched, words))
+    able = sets.join(lone_shingles(sets), "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    able = able.where(100 * (F.size("set") - F.col("lone")) >= percent * F.size("set"))
+    able = durable(able.join(classes.select("id", "bands", "sig"), "id"))
+    still = durable(mixed(open_.join(able.select("id"), "id")))
+    links = links.unionByName(links_across(still.join(able, "id"), percent))
     groups = components(durable(links))
     # a class may stand for several rows; its group goes to all of them by the fingerprint
     own = classes.select("f1", "f2", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component"))

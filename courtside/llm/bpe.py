@@ -7,7 +7,7 @@ across the border before both are complete. So appending costs only the new byte
 computed anew only until as many of them as the longest token agree with what was stored.
 
 A text is cut by the pre-tokenisation pattern and each match is encoded on its own; a match that is a token is that token.
-Matches recur, so each Python worker keeps their encodings in two tables of at most ``CACHE`` entries (when the newer one
+Matches recur, so each task keeps their encodings in two tables of at most ``CACHE`` entries (when the newer one
 is full it becomes the older). New matches of a batch are encoded in sorted order, and each goes on from the prefix that
 it shares with the one before. The rank file (some
 hundred kB; its size is checked) is read on the driver and broadcast. Texts are never shuffled.
@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-#: Entries of each table that a worker keeps (matches, token pairs).
-CACHE = 400_000
+#: Entries of each table that a task keeps (matches, token pairs).
+CACHE = 300_000
 #: Texts handled together.
 ROWS = 500
 #: Rank files up to this size may be broadcast.
@@ -242,18 +242,6 @@ class Decoder:
         return self.bytes[take], before[ends]
 
 
-_HELD: dict[tuple[int, str], Encoder] = {}
-
-
-def _encoder(content: Broadcast, pattern: str) -> Encoder:
-    """One encoder for each rank file and worker."""
-    key = (hash(content.value), pattern)
-    if key not in _HELD:
-        _HELD.clear()
-        _HELD[key] = Encoder(content.value, pattern)
-    return _HELD[key]
-
-
 def broadcast_ranks(spark: SparkSession, path: str) -> Broadcast:
     with open(path, "rb") as file:
         content = file.read(MAX_RANK_BYTES + 1)
@@ -269,7 +257,7 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_i
     kept = list(dict.fromkeys([id_col, *carry]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks, pattern)
+        encoder = Encoder(ranks.value, pattern)  # a task's own: idle workers keep no tables
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)

@@ -120,7 +120,7 @@ class Scorer:
         self.letter = regex.compile(r"\p{L}").search
         self.tables = []
         for n, known in zip(ORDERS, model.codes, strict=True):
-            t = np.full(1 << (8 * n), -1, dtype=np.int32)
+            t = np.full(1 << (8 * n), -1, dtype=np.int16 if len(known) < 1 << 15 else np.int32)
             t[known] = np.arange(len(known))
             self.tables.append(t)
 

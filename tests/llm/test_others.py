@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,6 @@ def test_queries_have_oracles_that_agree(spark):
         got, want = queries.QUERIES[name](spark, sf).toPandas(), con.sql(sql).df()
         cols = sorted(got.columns)
         assert cols == sorted(want.columns)
-        plain = lambda v: None if v is None or v != v else float(v) if isinstance(v, (int, float)) else v
+        plain = lambda v: None if pd.isna(v) else v if isinstance(v, str) else float(v)
         norm = lambda f: sorted(str([plain(v) for v in row]) for row in f[cols].astype(object).values.tolist())
         assert norm(got) == norm(want), name

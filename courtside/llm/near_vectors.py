@@ -1,15 +1,18 @@
-"""Near-duplicate embeddings within a label by NN-descent.
+"""Near-duplicate embeddings within a label: every pair of a label is compared or ruled out.
 
 1. Equal vectors of a label form a class with a multiplicity; only classes are compared.
-2. The neighbour graph starts from ``tables`` random-hyperplane orders: classes are range-sorted by label and sign code,
-   and every run of ``block`` rows is compared by one matrix product, which gives each class its ``k`` nearest.
-3. NN-descent rounds: the neighbours of every class are joined with their vectors and compared with each other
-   (neighbours of neighbours), and each class keeps the best ``k`` it has met.
-4. Edges at the threshold are kept and grouped into components. A list in which every neighbour passes the threshold is
-   saturated and may hide links, so lists are enlarged to the whole component: its members are compared tile by tile and
-   each tile pair adds to link counts, so no pairs leave a task and a component of any size is spread over many tasks.
-5. The recall of links is audited on ``audit`` classes (smallest hashes) against all rows by brute force. Below ``recall``
-   the descent goes on with more tables and longer lists.
+2. A neighbour graph tells which classes belong together. It starts from ``tables`` random-hyperplane orders: classes are
+   range-sorted by label and sign code, and every run of ``block`` rows is compared by one matrix product, which gives each
+   class its ``k`` nearest. A round of NN-descent joins the neighbours of every class with their vectors and compares them
+   with each other. The graph only decides which classes share a tile; no link is taken from it and none is lost by it.
+3. The classes of a label are cut into tiles of about ``tile`` rows, tight groups into tiles of their own. A pair of tiles is
+   passed over only if their centres are further apart than both radii and the threshold's angle together (triangle
+   inequality), so no link is missed. All other pairs of tiles are compared by matrix products, spread over the tasks. Each
+   gives link counts and, for every class with a link, the smallest id reached within the pair; pairs of rows leave no task.
+4. The components of these ids are those of all links.
+
+Counts and components are exact. Where vectors of a label are spread out, its tiles overlap and the work grows with the
+square of the label's classes; the rows dealt are its classes times its tiles.
 
 Label groups are only sort keys, so a hot label spreads over all tasks.
 
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from courtside.llm.common import NO_ID, components, durable
 
 THRESHOLD = 0.98
-K, TABLES, BLOCK, TILE, AUDIT, RECALL, MAX_ROUNDS = 8, 6, 256, 256, 256, 0.995, 4
+K, TABLES, BLOCK, TILE = 8, 6, 256, 256
 BITS = 24
 
 
@@ -139,57 +142,69 @@ def descended(graph: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     return best(graph.unionByName(found), k)
 
 
-def link_counts(classes: DataFrame, placed: DataFrame, threshold: float, tile: int) -> DataFrame:
-    """(id, links): for every class of placed(id, component), the vectors of other classes of its component it links with."""
-    tiles = placed.groupBy("component").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles"))
-    rows = placed.join(tiles, "component").join(classes.select("id", "vec", "copies"), "id").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    dealt = rows.select("component", "tile", "id", "vec", "copies", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    dealt = dealt.select("component", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "vec", "copies")
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        a, b = pdf[pdf["tile"] == i], pdf[pdf["tile"] == j]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"id": np.empty(0, np.int64), "links": np.empty(0, np.int64)})
-        hit = (unit(a["vec"].tolist()) @ unit(b["vec"].tolist()).T) >= threshold
-        if i == j:
-            np.fill_diagonal(hit, False)
-        left = hit @ b["copies"].to_numpy()
-        parts = [pd.DataFrame({"id": a["id"].to_numpy(), "links": left})]
-        if i != j:
-            parts.append(pd.DataFrame({"id": b["id"].to_numpy(), "links": a["copies"].to_numpy() @ hit}))
-        return pd.concat(parts)
-
-    return dealt.groupBy("component", "i", "j").applyInPandas(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+def tiled(classes: DataFrame, groups: DataFrame, tile: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(block, id, vec, copies) of all classes and (pair, a, b), the pairs of blocks (a <= b) that can hold a link.
 
+    A group of groups(id, component) that fills a good part of a tile gets tiles of its own; the others share those of
+    their label.
+    """
+    key = ["label", "dim", "own", "part"]
+    placed = classes.select("label", "dim", "id", "vec", "copies").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    large = placed.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") * 4 > tile).select("component", F.lit(True).alias("own"))
+    placed = placed.join(large, "component", "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    placed = placed.withColumn("part", F.when(F.col("own"), F.col("component")).otherwise(0))
+    tiles = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles"))
+    placed = durable(placed.join(tiles, key).withColumn("tile", F.pmod(F.xxhash64(F.when(F.col("own"), F.col("id")).otherwise(F.col("component"))), F.col("tiles")).cast("int")).drop("tiles"))
 
-def audited(classes: DataFrame, counts: DataFrame, threshold: float, audit: int) -> float:
-    """The share of the links of ``audit`` classes that counts has; the queries are bounded, the rows are all."""
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(audit).select("label", "dim", "id", "vec").collect()
-    by_dim: dict[int, tuple[list, list, np.ndarray]] = {}
-    for dim in {r["dim"] for r in picked}:
-        own = [r for r in picked if r["dim"] == dim]
-        by_dim[dim] = ([r["id"] for r in own], [r["label"] for r in own], unit([bytes(r["vec"]) for r in own]))
-    queries = classes.sparkSession.sparkContext.broadcast(by_dim)
+    def ball(names: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit(pdf["vec"].tolist())
+        mean = x.sum(axis=0)
+        centre = mean / np.sqrt(mean @ mean) if mean @ mean > 1e-12 else x[0]
+        return pd.DataFrame([(*names, centre.tolist(), float(np.arccos(np.clip(x @ centre, -1, 1)).max()))])
 
-    def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for dim, part in pdf.groupby("dim"):
-                if dim not in queries.value:
-                    continue
-                ids, labels, q = queries.value[dim]
-                hit = (q @ unit(part["vec"].tolist()).T) >= threshold
-                hit &= np.array(labels, dtype=object)[:, None] == part["label"].to_numpy(dtype=object)[None, :]
-                hit &= np.array(ids)[:, None] != part["id"].to_numpy()[None, :]
-                n = hit @ part["copies"].to_numpy()
-                yield pd.DataFrame({"id": np.array(ids)[n > 0], "links": n[n > 0]})
+    label = classes.schema["label"].dataType.simpleString()
+    balls = placed.groupBy(*key, "tile").applyInPandas(ball, f"label {label}, dim int, own boolean, part long, tile int, centre array<double>, radius double")
+    balls = durable(balls.withColumn("block", F.monotonically_increasing_id()))
+    side = lambda s: balls.select("label", "dim", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "centre", "radius")])
+    dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    # the triangle inequality of angles, with room for rounding
+    near = angle <= F.col("radius_a") + F.col("radius_b") + F.lit(math.acos(max(-1.0, min(1.0, threshold))) + 1e-6)
+    pairs = side("a").join(side("b"), ["label", "dim"]).where((F.col("block_a") == F.col("block_b")) | ((F.col("block_a") < F.col("block_b")) & near))
+    pairs = durable(pairs.select(F.monotonically_increasing_id().alias("pair"), F.col("block_a").alias("a"), F.col("block_b").alias("b")))
+    return placed.join(balls.select(*key, "tile", "block"), [*key, "tile"]).select("block", "id", "vec", "copies"), pairs
+
+
+def compared(rows: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(id, links, low) from every pair of blocks: the vectors of other classes that a class links with there, and the smallest
+    id that the links of the pair reach from it, so a pair never gives more rows than it has."""
+    dealt = pairs.select("pair", F.lit(0).alias("side"), F.col("a").alias("block")).unionByName(pairs.where("a <> b").select("pair", F.lit(1).alias("side"), F.col("b").alias("block")))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        a = pdf[pdf["side"] == 0]
+        b = pdf[pdf["side"] == 1] if (pdf["side"] == 1).any() else a
+        ids_a, ids_b = a["id"].to_numpy(), b["id"].to_numpy()
+        hit = ((unit(a["vec"].tolist()) @ unit(b["vec"].tolist()).T) >= threshold) & (ids_a[:, None] != ids_b[None, :])
+        keep_a, keep_b = hit.any(axis=1), hit.any(axis=0)
+        a, b, hit = a[keep_a], b[keep_b], hit[np.ix_(keep_a, keep_b)]
+        if not len(a):
+            return pd.DataFrame({"id": np.empty(0, np.int64), "links": np.empty(0, np.int64), "low": np.empty(0, np.int64)})
+        ids_a, ids_b, low_a, none = a["id"].to_numpy(), b["id"].to_numpy(), a["id"].to_numpy(), np.iinfo(np.int64).max
+        while True:
+            low_b = np.minimum(ids_b, np.where(hit, low_a[:, None], none).min(axis=0))
+            after = np.minimum(low_a, np.where(hit, low_b[None, :], none).min(axis=1))
+            if (after == low_a).all():
+                break
+            low_a = after
+        parts = [pd.DataFrame({"id": ids_a, "links": hit @ b["copies"].to_numpy(), "low": low_a})]
+        if (pdf["side"] == 1).any():
+            parts.append(pd.DataFrame({"id": ids_b, "links": a["copies"].to_numpy() @ hit, "low": low_b}))
+        return pd.concat(parts)
 
-    true = classes.select("label", "dim", "id", "vec", "copies").mapInPandas(brute, "id long, links long").groupBy("id").agg(F.sum("links").alias("true"))
-    row = true.join(counts, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("links", F.lit(0))).alias("f")).first()
-    return 1.0 if not row["t"] else row["f"] / row["t"]
+    return rows.join(dealt, "block").groupBy("pair").applyInPandas(compare, "id long, links long, low long")
 
 
-def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, block: int = BLOCK, tile: int = TILE, audit: int = AUDIT, recall: float = RECALL, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """id, n_links, component_id and kept (the id is the component's smallest); one row per row of table."""
     usable = F.col("label").isNotNull() & F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))), F.lit(False)) & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
     own = table.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(vec_col).alias("embedding"), F.col(label_col).alias("label")).withColumn("ok", usable)
@@ -197,16 +212,12 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     valid = keyed.where("ok").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     counted = keyed.where("ok").select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("copies"))
     classes = durable(packed(valid.select("label", "id", "embedding", "h1", "h2")).join(counted, ["h1", "h2"]))
-    graph: DataFrame | None = None
-    for go in range(max_rounds):
-        found = seeded(classes, tables, go, k, block)
-        graph = durable(best(found if graph is None else found.unionByName(graph), k))
-        graph = durable(descended(graph, classes, k))
-        groups = components(graph.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "id")
-        counts = durable(link_counts(classes, groups, threshold, tile))
-        if audited(classes, counts, threshold, audit) >= recall:
-            break
-        k, tables = 2 * k, 2 * tables
+    graph = durable(best(seeded(classes, tables, 0, k, block), k))
+    graph = durable(descended(graph, classes, k))
+    tight = components(graph.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "id")
+    found = durable(compared(*tiled(classes, tight, tile, threshold), threshold))
+    counts = durable(found.groupBy("id").agg(F.sum("links").alias("links")))
+    groups = components(found.select(F.col("id").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "id")
     info = classes.select("h1", "h2", F.col("id").alias("class"), "copies").join(groups.withColumnRenamed("id", "class"), "class", "left").join(counts.withColumnRenamed("id", "class"), "class", "left")
     info = info.select("h1", "h2", F.coalesce("component", "class").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     met = keyed.select("id", F.coalesce("h1", F.lit(0)).alias("h1"), "h2").join(info, ["h1", "h2"], "left")

@@ -89,6 +89,19 @@ def test_near_vectors(spark):
     assert sorted((x.vec_id or -1, x.n_links) for x in near_vectors.near_vectors(odd).collect()) == [(-1, 1), (4, 1), (4, 1)]
 
 
+def test_near_vectors_links_of_tight_groups(spark):
+    """Every vector has far more neighbours inside its own group than any neighbour list holds, and links with all of the other."""
+    r = np.random.default_rng(8)
+    a = r.normal(size=32)
+    a /= np.linalg.norm(a)
+    off = r.normal(size=32)
+    off -= a * (a @ off)
+    b = 0.9865 * a + np.sqrt(1 - 0.9865**2) * off / np.linalg.norm(off)
+    rows = [(i, (c + r.normal(size=32) * 0.0003).tolist(), 1) for i, c in enumerate([a] * 100 + [b] * 100)]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), tile=32).collect()
+    assert len(got) == 200 and {x.n_links for x in got} == {199} and {x.component_id for x in got} == {0} and [x.vec_id for x in got if x.kept] == [0]
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)]

@@ -60,12 +60,18 @@ def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(base, advanced, tracking) payload-like frames per player: customers, parts and suppliers folded onto players."""
-    base = table(spark, sf_dir, "customer").where("c_custkey <= 200").select(F.col("c_custkey").alias("PLAYER_ID"), F.lit(None).cast("string").alias("PLAYER_NAME"), (F.col("c_custkey") % 82 + 1).cast("double").alias("GP"), (F.col("c_custkey") % 36 + 4).cast("double").alias("MIN"), F.round(F.abs("c_acctbal") / 100, 2).alias("PTS"), (F.col("c_nationkey") * 1.0).alias("AST"), F.col("c_custkey").cast("int").alias("PTS_RANK"))
-    advanced = table(spark, sf_dir, "part").where("p_partkey between 50 and 260").select(F.col("p_partkey").alias("PLAYER_ID"), F.round(F.col("p_retailprice") / 10, 2).alias("NET_RATING"), F.col("p_size").alias("PACE"), F.col("p_size").alias("PACE_RANK"))
-    tracking = table(spark, sf_dir, "supplier").where("s_suppkey <= 90").select(F.col("s_suppkey").alias("PLAYER_ID"), (F.col("s_suppkey") % 30 * 10).cast("double").alias("MIN"), F.round(F.abs("s_acctbal"), 2).alias("DRIVES"), F.round(F.abs("s_acctbal") / 10000, 4).alias("DRIVE_FG_PCT"))
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("PLAYER_ID"), F.lit(None).cast("string").alias("PLAYER_NAME"), (F.col("c_custkey") % 82 + 1).cast("double").alias("GP"), (F.col("c_custkey") % 36 + 4).cast("double").alias("MIN"), F.round(F.abs("c_acctbal") / 100, 2).alias("PTS"), (F.col("c_nationkey") * 1.0).alias("AST"), F.col("c_custkey").cast("int").alias("PTS_RANK"))
+    advanced = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("PLAYER_ID"), F.round(F.col("p_retailprice") / 10, 2).alias("NET_RATING"), F.col("p_size").alias("PACE"), F.col("p_size").alias("PACE_RANK"))
+    tracking = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("PLAYER_ID"), (F.col("s_suppkey") % 30 * 10).cast("double").alias("MIN"), F.round(F.abs("s_acctbal"), 2).alias("DRIVES"), F.round(F.abs("s_acctbal") / 10000, 4).alias("DRIVE_FG_PCT"))
     return base, advanced, tracking
 
 
+def features_of_sql(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of features() that FEATURES_SQL reads, for the queries that are compared with it."""
+    base, advanced, tracking = features(spark, sf_dir)
+    return base.where("PLAYER_ID <= 200"), advanced.where("PLAYER_ID between 50 and 260"), tracking.where("PLAYER_ID <= 90")
+
+
 STINTS_SQL = """
 plays AS (
   SELECT concat(year(o_orderdate) + 14, '-', right(CAST(year(o_orderdate) + 15 AS VARCHAR), 2)) AS season,

@@ -12,7 +12,7 @@ from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
 from courtside.operators.ridge import solve
 from courtside.operators.tune import Search, candidate_grids
 from courtside.operators.weights import Knobs, with_multiplier
-from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, statistics, stints, table
+from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, features_of_sql, statistics, stints, table
 from courtside.plans.driver import features as feature_frames
 from courtside.sources.names import with_names
 from courtside.sources.results import TUNED_KEYS
@@ -247,23 +247,23 @@ def score_checked(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {FEATURES_SQL} SELECT player_id, minutes, box_PTS, box_AST, adv_NET_RATING, adv_PACE, round(pt_drives_DRIVES, 6) AS pt_drives_DRIVES, pt_drives_DRIVE_FG_PCT FROM wide")
 def features_full_outer(spark: SparkSession, d: str) -> DataFrame:
-    base, advanced, tracking = feature_frames(spark, d)
+    base, advanced, tracking = features_of_sql(spark, d)
     return rounded(features.season_features(base, advanced, {"Drives": tracking}), "pt_drives_DRIVES")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT player_id, round(pt_drives_DRIVES, 6) AS pt_drives_DRIVES, pt_drives_DRIVE_FG_PCT FROM tracking")
 def per36(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(features.prefixed(feature_frames(spark, d)[2], "pt_drives_", per_36=True), "pt_drives_DRIVES")
+    return rounded(features.prefixed(features_of_sql(spark, d)[2], "pt_drives_", per_36=True), "pt_drives_DRIVES")
 
 
-def _wide(spark, d) -> DataFrame:
-    base, advanced, tracking = feature_frames(spark, d)
+def _wide(frames) -> DataFrame:
+    base, advanced, tracking = frames
     return features.season_features(base, advanced, {"Drives": tracking})
 
 
 @query(f"WITH {FEATURES_SQL}, z AS (SELECT avg(box_PTS) AS m, CASE WHEN stddev_pop(box_PTS) = 0 THEN 1 ELSE stddev_pop(box_PTS) END AS s FROM wide) SELECT player_id, round(coalesce((box_PTS - m) / s, 0), 6) AS z FROM wide, z")
 def feature_standardize(spark: SparkSession, d: str) -> DataFrame:
-    wide = _wide(spark, d)
+    wide = _wide(features_of_sql(spark, d))
     row = wide.agg(F.avg("box_PTS").alias("m"), F.stddev_pop("box_PTS").alias("s")).first()
     return wide.select("player_id", F.round(F.get(priors.standardised(wide, ["box_PTS"], [row["m"]], [row["s"] or 1.0]), 0), 6).alias("z"))
 
@@ -271,12 +271,12 @@ def feature_standardize(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{WITH}, {FEATURES_SQL}, {_SIDES}, t AS (SELECT player_id, CAST(sum(poss) AS BIGINT) AS poss FROM players GROUP BY ALL) SELECT player_id, box_PTS, poss FROM wide JOIN t USING (player_id)")
 def spm_inner_join(spark: SparkSession, d: str) -> DataFrame:
     sums = column_sums(matchups(stints(spark, d), []), []).groupBy(F.expr("i div 2").alias("player_id")).agg(F.sum("w").alias("poss"))
-    return _wide(spark, d).join(sums, "player_id").select("player_id", "box_PTS", "poss")
+    return _wide(features_of_sql(spark, d)).join(sums, "player_id").select("player_id", "box_PTS", "poss")
 
 
 @query(f"WITH {FEATURES_SQL}, twice AS (SELECT player_id, minutes, box_PTS FROM wide UNION ALL SELECT player_id, minutes / 2, box_AST FROM wide) SELECT player_id, round(sum(coalesce(box_PTS, 0) * greatest(coalesce(minutes, 1), 1)) / sum(greatest(coalesce(minutes, 1), 1)), 6) AS o, round(sum((1 - coalesce(box_PTS, 0)) * greatest(coalesce(minutes, 1), 1)) / sum(greatest(coalesce(minutes, 1), 1)), 6) AS d FROM twice GROUP BY player_id")
 def player_weighted_avg(spark: SparkSession, d: str) -> DataFrame:
-    wide = _wide(spark, d)
+    wide = _wide(features_of_sql(spark, d))
     twice = wide.select("player_id", "minutes", "box_PTS").unionByName(wide.select("player_id", (F.col("minutes") / 2).alias("minutes"), F.col("box_AST").alias("box_PTS")))
     model = priors.SpmModel(["box_PTS"], [0.0], [1.0], [1.0], [-1.0], 0.0, 1.0, 1.0, 1.0)
     return rounded(priors.predict_spm(model, twice), "o", "d")
@@ -456,7 +456,7 @@ def rapm_interactions(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def spm_fit(spark: SparkSession, d: str) -> DataFrame:
     fit = rapm.fit_rapm(stints(spark, d), lam=500.0).to_spark(spark)
-    wide = _wide(spark, d)
+    wide = _wide(feature_frames(spark, d))
     return priors.predict_spm(priors.fit_spm(wide, fit), wide)
 
 

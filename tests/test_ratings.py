@@ -167,3 +167,12 @@ def test_truth_prior_wins(spark):
     assert table.holdout_mse["truth"] < table.holdout_mse["plain"] < table.holdout_mse["intercept-only"] * 1.02
     assert abs(table.vs_baseline["intercept-only"]) < 1e-12
     assert as_prior(fit_rapm(stints, lam=500.0), 0.5)
+
+
+def test_spm_fit_predicts_every_player_of_the_features(spark):
+    from courtside.plans import queries
+
+    d = "/root/testdata/sf0.01"
+    keys = {r[0] for t, k in (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey")) for r in spark.read.parquet(f"{d}/{t}.parquet").select(k).collect()}
+    got = [r.player_id for r in queries.spm_fit(spark, d).collect()]
+    assert len(got) == len(set(got)) and set(got) == keys

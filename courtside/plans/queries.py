@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtside.functions.columns import clock_seconds, dashes, garbage_time, per_100, player_ids
-from courtside.functions.seasons import end_year_col
+from courtside.functions.seasons import end_year, end_year_col, season_name
 from courtside.operators import evaluate, features, ingest, interactions, possessions, priors, rapm, validate
 from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
 from courtside.operators.ridge import solve
@@ -443,9 +443,19 @@ def rapm_two_phase(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def rapm_last_season(spark: SparkSession, d: str) -> DataFrame:
-    s = stints(spark, d)
-    prior = rapm.as_prior(rapm.fit_rapm(s.where("season = '2012-13'"), lam=500.0), 0.7)
-    return rapm.fit_rapm(s.where("season = '2013-14'"), lam=500.0, prior=prior).to_spark(spark)
+    """The ratings of every season that has a predecessor, shrunk towards the plain fit of that one."""
+    data = rapm.Data(stints(spark, d))
+    seasons = sorted({p.key["season"] for p in data.cube.parts}, key=end_year)
+    out = None
+    for season in seasons:
+        before = season_name(end_year(season) - 1)
+        if before not in seasons:
+            continue
+        only = lambda name: lambda key: key["season"] == name
+        prior = rapm.as_prior(rapm.fit_rapm(None, lam=500.0, data=data, keep=only(before)), 0.7)
+        fit = rapm.fit_rapm(None, lam=500.0, prior=prior, data=data, keep=only(season)).to_spark(spark).select(F.lit(season).alias("season"), "*")
+        out = fit if out is None else out.unionByName(fit)
+    return out if out is not None else spark.createDataFrame([], rapm.PLAYERS).select(F.lit("").alias("season"), "*")
 
 
 @query()
@@ -467,7 +477,12 @@ def holdout_split(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def evaluate_grid(spark: SparkSession, d: str) -> DataFrame:
-    table_ = evaluate.evaluate_grid(stints(spark, d).where("season = '2013-14'"), {"plain": None, "two-phase": lambda t: priors.two_phase_prior(t, lam=500.0)}, garbage_weights=(1.0, 0.5), lam=500.0)
+    s = stints(spark, d).persist()
+    try:
+        variants = {"plain": None, "two-phase": lambda t: priors.two_phase_prior(t, lam=500.0), "interactions": {"interactions": True}}
+        table_ = evaluate.evaluate_grid(s, variants, decays=(1.0, 0.9), garbage_weights=(1.0, 0.5), playoff_weights=(1.0, 1.5), lam=500.0)
+    finally:
+        s.unpersist()
     return spark.createDataFrame(table_)
 
 

@@ -176,3 +176,18 @@ def test_spm_fit_predicts_every_player_of_the_features(spark):
     keys = {r[0] for t, k in (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey")) for r in spark.read.parquet(f"{d}/{t}.parquet").select(k).collect()}
     got = [r.player_id for r in queries.spm_fit(spark, d).collect()]
     assert len(got) == len(set(got)) and set(got) == keys
+
+
+def test_last_season_and_grid_use_all_seasons(spark, monkeypatch, scoped):
+    from courtside.plans import queries
+
+    earlier = scoped.unionByName(scoped.where("season = '2023-24'").withColumns({"season": F.lit("2020-21"), "game_id": F.concat(F.lit("D"), "game_id")}))
+    monkeypatch.setattr(queries, "stints", lambda spark, d: earlier)
+    got = queries.rapm_last_season(spark, "").toPandas()
+    assert set(got["season"]) == {"2024-25"}
+    want = fit_rapm(earlier.where("season = '2024-25'"), lam=500.0, prior=as_prior(fit_rapm(earlier.where("season = '2023-24'"), lam=500.0), 0.7)).players
+    np.testing.assert_allclose(got["rapm"], want["rapm"], atol=1e-9)
+    grid = queries.evaluate_grid(spark, "").toPandas()
+    assert len(grid) == 2 * 2 * 2 * 4 and set(grid["variant"]) == {"intercept-only", "plain", "two-phase", "interactions"}
+    base = evaluate_variants(earlier, {}, lam=500.0)["holdout_mse"].iloc[0]
+    np.testing.assert_allclose(grid.loc[grid["variant"] == "intercept-only", "holdout_mse"], base)

@@ -5,7 +5,8 @@ the columns of documents. What a stage decides takes effect:
 
 * language: documents without a language (no letter) go; a null ``lang`` is filled with the prediction;
 * lines: repeated lines go, ``n_chars`` follows the kept text; a document that loses all its lines stays, with no text;
-* near copies: the smallest id of every group stays;
+* near copies: the smallest id of every group stays; rows that share an id, or have none, are judged each by their own text
+  (equal ids with equal texts as one);
 * decontamination: documents with a verified benchmark overlap go;
 * tokens: byte-level BPE ids of the kept texts, decoded again and compared with the text.
 
@@ -38,9 +39,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_gone")).distinct()
-    return docs.select(*COLUMNS).join(gone, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_gone"), "left_anti")
+    # each distinct id and text gets a number of its own in the order of ids, so rows that share an id (or have none) are judged apart
+    key = ["_id", "_h1", "_h2"]
+    own = docs.select(*COLUMNS, F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(7), "text").alias("_h2"))
+    numbers = durable(own.select(*key).distinct().sort(*key).withColumn("_row", F.monotonically_increasing_id()))
+    numbered = durable(own.join(numbers, key).select("_row", *COLUMNS))
+    kept = minhash.near_duplicates(numbered, id_col="_row", words=5, percent=80).where("kept").select("_row").distinct()
+    return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

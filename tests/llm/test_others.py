@@ -132,6 +132,16 @@ def test_pipeline(spark, tmp_path, prose, odd_docs):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_near_copies_go_row_by_row(spark, docs_schema):
+    r = random.Random(4)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(80))
+    base, other, alone = text(), text(), [text() for _ in range(4)]
+    rows = [(1, base), (None, base), (None, base + " more"), (2, other), (3, other), (3, alone[0]), *[(None, t) for t in alone[1:]]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs_schema)
+    got = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert sorted((x.doc_id or -1, x.text) for x in got) == sorted([(1, base), (2, other), (3, alone[0]), *[(-1, t) for t in alone[1:]]])
+
+
 def test_queries_have_oracles_that_agree(spark):
     duckdb = pytest.importorskip("duckdb")
     from courtside.llm import queries

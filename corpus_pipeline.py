@@ -3,7 +3,8 @@
 Every stage is a function of (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return
 the columns of documents. What a stage decides takes effect:
 
-* language: documents without a language (no letter) go; a null ``lang`` is filled with the prediction;
+* language: documents without a language (no letter) go; a null ``lang`` is filled with the prediction, or
+  stays where there is no labelled text to learn from;
 * lines: repeated lines go, ``n_chars`` follows the kept text; a document that loses all its lines stays, with no text;
 * near copies: the smallest id of every group stays; rows that share an id, or have none, are judged each by their own text
   (equal ids with equal texts as one);
@@ -29,6 +30,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = langid.fit(langid.train_part(docs).select("text", "lang"))
+    if model is None:  # nothing to learn from: a null lang stays
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     known = langid.identify(docs, model, carry=COLUMNS).where(F.col("lang_pred") != langid.NONE)
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 

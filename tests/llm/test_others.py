@@ -142,6 +142,12 @@ def test_near_copies_go_row_by_row(spark, docs_schema):
     assert sorted((x.doc_id or -1, x.text) for x in got) == sorted([(1, base), (2, other), (3, alone[0]), *[(-1, t) for t in alone[1:]]])
 
 
+def test_language_stage_without_labels_keeps_letters(spark, docs_schema):
+    long = "word " * 5000
+    docs = spark.createDataFrame([(1, "some text", None, "s", 9), (2, "12 34", None, "s", 5), (3, None, None, "s", None), (4, long, "en", "s", len(long))], docs_schema)
+    assert sorted((x.doc_id, x.lang) for x in corpus_pipeline.language(spark, docs, "").collect()) == [(1, None), (4, "en")]
+
+
 def test_queries_have_oracles_that_agree(spark):
     duckdb = pytest.importorskip("duckdb")
     from courtside.llm import queries

@@ -6,8 +6,8 @@ and kernel ridge regression is solved once for every language against the rest.
 vector of each n, so landmarks, Nystroem map and coefficients fold into one weight matrix per n; a batch of texts is
 scored by one sparse-times-dense product per n.
 
-The classifier is fitted on at most ``SAMPLE`` labelled texts of at most ``SAMPLE_CHARS`` characters each (those with the
-smallest hashes), which also bounds what reaches the driver. Every text is scored whole, in the tasks that read it.
+The classifier is fitted on at most ``SAMPLE`` distinct labelled texts of at most ``SAMPLE_CHARS`` characters each (those with
+the smallest hashes, in equal shares of the languages as far as they last), which also bounds what reaches the driver. Every text is scored whole, in the tasks that read it.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so is every text where no labelled text was
 found; repeated rows give repeated results; null languages are not learned; equal scores go to the language that sorts
@@ -16,6 +16,7 @@ first; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -96,20 +97,36 @@ def fit_texts(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ri
     return Model(languages, tuple(codes), weights, target - mean @ coef)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str | None = None, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model | None:
-    """The model of a bounded sample of the rows with a language; None where there is none. key_col spreads equal texts."""
-    usable = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), *([F.col(key_col).alias("k")] if key_col else [])).where(
-        F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.length("t") <= sample_chars)
-    )
-    n = usable.count()
-    if not n:
+def quotas(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """Equal shares of the sample; what a language cannot fill goes to the larger ones, and each has one text at least."""
+    out, left = {}, sample
+    for at, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, max(1, left // (len(counts) - at)))
+        left -= out[lang]
+    return out
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model | None:
+    """The model of a bounded sample of the distinct texts of every language; None where there is none."""
+    usable = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.length("t") <= sample_chars))
+    h1, h2 = F.xxhash64("t", "l"), F.xxhash64(F.lit(7), "t", "l")
+    counts = {r["l"]: r["n"] for r in usable.select("l", h1.alias("h1"), h2.alias("h2")).distinct().groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return None
-    part = F.pmod(F.xxhash64(*usable.columns), F.lit(1 << 30))
-    # as many hashes as give the sample on average, and some more; the rest is cut below
-    share = min(1.0, 1.3 * sample / n)
-    rows = usable.where(part < int(share * (1 << 30)) + 1).select("t", "l", part.alias("h")).collect()
-    rows = sorted(rows, key=lambda r: (r["h"], r["t"], r["l"]))[:sample]
-    return fit_texts([r["t"] for r in rows], [r["l"] for r in rows])
+    wanted = quotas(counts, sample)
+    # as many hashes as give the quota for all but certain, and some more; the rest is cut below
+    cuts = [(lang, min(1 << 30, int((q + 4 * math.sqrt(q) + 8) / counts[lang] * (1 << 30)) + 1)) for lang, q in wanted.items()]
+    cut = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "l string, cut long"))
+    picked = usable.join(cut, "l").withColumn("h", F.pmod(h1, F.lit(1 << 30))).where("h < cut")
+    # equal texts combine before the shuffle
+    rows = picked.withColumns({"h1": h1, "h2": h2}).groupBy("h1", "h2", "h", "l").agg(F.first("t").alias("t")).collect()
+    held: dict[str, int] = dict.fromkeys(wanted, 0)
+    kept = []
+    for r in sorted(rows, key=lambda r: (r["h"], r["t"], r["l"])):
+        if held[r["l"]] < wanted[r["l"]]:
+            held[r["l"]] += 1
+            kept.append(r)
+    return fit_texts([r["t"] for r in kept], [r["l"] for r in kept])
 
 
 class Scorer:

@@ -338,3 +338,10 @@ def test_license_scan(spark, odd_docs, no_docs):
 
 def test_sha_of_empty():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_language_sample_has_every_language(spark):
+    rows = [("the same words again and again", "en")] * 400 + [(f"der text nummer {i} ist ganz kurz und klein", "de") for i in range(300)] + [("une phrase courte en langue rare", "fr")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample=20)
+    assert model.languages == ("de", "en", "fr")
+    assert langid.quotas({"a": 1, "b": 500, "c": 600}, 21) == {"a": 1, "b": 10, "c": 10}

@@ -10,7 +10,7 @@ from courtside.functions.seasons import end_year, end_year_col, season_name
 from courtside.operators import evaluate, features, ingest, interactions, possessions, priors, rapm, validate
 from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
 from courtside.operators.ridge import solve
-from courtside.operators.tune import Search, candidate_grids
+from courtside.operators.tune import Search, candidate_grids, descend
 from courtside.operators.weights import Knobs, with_multiplier
 from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, features_of_sql, statistics, stints, table
 from courtside.plans.driver import features as feature_frames
@@ -488,14 +488,16 @@ def evaluate_grid(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def tune_search(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the candidates that are algebra on the cube, on one split."""
+    """What tune() tries, in its order: all coordinates on its three splits, from a fixed penalty; option is the configuration.
+
+    The table has no season before its first, so last-season priors are left out as in tune().
+    """
     s = stints(spark, d)
-    search = Search(s, 1, 0.2)
+    search = Search(s, 3, 0.2)
     try:
-        base = TUNED_KEYS | {"lambda": 500.0}
         keys = [p.key for p in search.data.cube.parts]
         grids = candidate_grids(s.columns, len({k["season"] for k in keys}), len({k["season_type"] for k in keys}), False)
-        rows = [("baseline", "", search.score(base))] + [(name, str(update), search.score(base | update)) for name, options in grids if name != "interactions" for update in options]
+        _, _, history = descend(search, TUNED_KEYS | {"lambda": 500.0}, grids)
     finally:
         search.close()
-    return spark.createDataFrame(rows, "coordinate string, option string, mse double")
+    return spark.createDataFrame([(h["note"], str(h["config"]), h["mse"]) for h in history], "coordinate string, option string, mse double")

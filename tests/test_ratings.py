@@ -191,3 +191,15 @@ def test_last_season_and_grid_use_all_seasons(spark, monkeypatch, scoped):
     assert len(grid) == 2 * 2 * 2 * 4 and set(grid["variant"]) == {"intercept-only", "plain", "two-phase", "interactions"}
     base = evaluate_variants(earlier, {}, lam=500.0)["holdout_mse"].iloc[0]
     np.testing.assert_allclose(grid.loc[grid["variant"] == "intercept-only", "holdout_mse"], base)
+
+
+def test_tune_search_runs_the_whole_descent(spark, monkeypatch, scoped):
+    from courtside.operators import tune
+    from courtside.plans import queries
+
+    seeds, tried = [], []
+    monkeypatch.setattr(queries, "stints", lambda spark, d: scoped)
+    monkeypatch.setattr(tune.Search, "_score", lambda self, c, seed: (seeds.append(seed), tried.append(c), 10.0 - (c["decay"] == 0.9) - bool(c["interactions"]))[2])
+    got = queries.tune_search(spark, "").toPandas()
+    assert set(seeds) == {0, 1, 2} and {"baseline", "garbage_weight", "decay", "playoff_weight", "prior", "interactions"} == set(got["coordinate"])
+    assert all(c["decay"] == 0.9 for c in tried if c["interactions"]) and got["mse"].min() == 8.0

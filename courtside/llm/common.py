@@ -5,7 +5,11 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +20,16 @@ BLANKS = " \t\n\x0b\x0c\r"
 NO_ID = (1 << 63) - 1
 
 
+#: Texts of a slice hold together about so many bytes, and are at most so many.
+SLICE_BYTES, SLICE_ROWS = 8 << 20, 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where none is named (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine (tests) a local one if none is named."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="courtside-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -40,9 +50,34 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int | str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose values of a string column hold about ``size`` bytes (one row at least) and that have
+    at most ``rows`` rows; an empty batch is one slice."""
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = int(np.searchsorted(ends, before + size, "right"))
+            stop = min(max(stop, at + 1), at + rows, batch.num_rows)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+# The characters beyond ASCII that lower-casing changes.
+_OTHER_CAPITALS = r"[[\p{Lu}\p{Lt}\x{2160}-\x{216F}\x{24B6}-\x{24CF}]&&[^A-Z]]"
+
+
 def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased, every other character as it is."""
-    return F.translate(text, UPPER, LOWER)
+    """A-Z lower-cased, every other character as it is.
+
+    Plain lower-casing does that wherever no other capitals occur; translating character by character is for the rest.
+    """
+    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_OTHER_CAPITALS))
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def components(edges: DataFrame) -> DataFrame:

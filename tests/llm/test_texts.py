@@ -1,6 +1,8 @@
 """Operators on texts against brute force, and their defined odd cases."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 
@@ -207,13 +209,60 @@ def test_decontamination(spark, prose, odd_docs, no_docs):
     got = {x.doc_id: x for x in decontaminate.decontaminate(table, bench).collect()}
     assert [i for i, x in sorted(got.items()) if x.contaminated] == [100, 101, 102, 104]
     assert got[100]["items"] == [0] and got[100].matches == [40] and got[100].spans == [[1, 41]] and got[101].matches[0] >= 35
-    blocked = {x.doc_id: x["items"] for x in decontaminate.decontaminate(table, bench, block_bytes=200).collect()}
-    assert {i: sorted(x) for i, x in blocked.items()} == {i: sorted(x["items"]) for i, x in got.items()}
+    joined = {x.doc_id: x for x in decontaminate.decontaminate(table, bench, block_bytes=200).collect()}
+    assert joined == got
     assert decontaminate.decontaminate(odd_docs, bench).where("contaminated").count() == 0
     assert decontaminate.decontaminate(no_docs, bench).count() == 0
     assert decontaminate.decontaminate(table, bench.limit(0)).where("contaminated").count() == 0
 
 
+def best_overlap(text, item, min_words=13, share=0.8):
+    """(matches, first word, one past the last) over all alignments, compared word by word."""
+    need = min(min_words, max(1, math.ceil(share * len(item) - 1e-9)))
+    found = []
+    for shift in range(-len(item) + 1, len(text)):
+        a, b = max(0, shift), min(len(text), shift + len(item))
+        same = [text[k] == item[k - shift] for k in range(a, b)]
+        if len(item) < decontaminate.LONG:
+            at = [k for k, x in enumerate(same) if x]
+            start, end = (at[0], at[-1] + 1) if at else (0, 0)
+        else:
+            sums = np.concatenate(([0], np.cumsum([1 if x else -2 for x in same])))
+            end = max(range(1, len(sums)), key=lambda e: sums[e] - min(sums[:e]))
+            start = int(np.argmin(sums[:end]))
+        if sum(same[start:end]) >= need:
+            found.append((-sum(same[start:end]), a + start, a + end))
+    return (-min(found)[0], *min(found)[1:]) if found else None
+
+
+def test_overlaps_equal_brute_force_at_all_places():
+    r = random.Random(11)
+    word = lambda: r.getrandbits(60)
+    hashed = lambda w: np.array(w, dtype=np.uint64)
+
+    def check(text, item):
+        got = decontaminate.best_of(decontaminate.Index([(7, hashed(item))]), [hashed([])] + [hashed(text)], 13, 0.8).get(1, [])
+        want = best_overlap(text, item)
+        assert [tuple(x) for x in got] == ([(7, *want)] if want else []), (text, item)
+        return want
+
+    for n in range(1, 22):
+        for where in [w for k in range(3) for w in itertools.combinations(range(n), k)]:
+            item = [word() for _ in range(n)]
+            text = [word() for _ in range(r.choice([0, 3]))] + [word() if k in where else w for k, w in enumerate(item)] + [word() for _ in range(r.choice([0, 2]))]
+            found = check(text, item)
+            assert found or len(where) > n // 5 or n >= decontaminate.LONG
+    for _ in range(200):  # few words, so many alignments
+        check([r.randrange(3) for _ in range(r.randint(0, 60))], [r.randrange(3) for _ in range(r.randint(1, 16))])
+
+
+def test_overlaps_list_alignments_in_pieces(monkeypatch):
+    monkeypatch.setattr(decontaminate, "HITS", 50)
+    monkeypatch.setattr(decontaminate, "COMPARED", 60)
+    same, item = np.full(500, 9, dtype=np.uint64), np.full(20, 9, dtype=np.uint64)
+    assert decontaminate.best_of(decontaminate.Index([(1, item)]), [same], 13, 0.8) == {0: [(1, 20, 0, 20)]}
+
+
 # --- tokens ---
 
 

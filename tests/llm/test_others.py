@@ -41,10 +41,33 @@ def test_url_rules(spark):
             rule, verdict = judge(host, path, rules)
             assert (got[i].host, got[i].path, got[i].verdict) == (host, path, verdict), u
             assert (got[i].rule is None) == (rule is None) and len(got[i].rule or "") == len(rule or "")
+    twice = url_filter.filter_urls(table.unionByName(table), rules).groupBy("page_id", "host", "path", "rule", "verdict").count()
+    assert {x["count"] for x in twice.where("page_id is not null").collect()} == {2}
     assert url_filter.filter_urls(table, rules).count() == len(urls) + 1
     assert url_filter.filter_urls(table.limit(0), rules).count() == 0
 
 
+def test_many_paths_at_one_host_cost_their_nesting(spark, monkeypatch):
+    r = random.Random(12)
+    path = lambda: "/" + "/".join(r.choice("abcdef") * r.randint(1, 3) for _ in range(r.randint(1, 6)))
+    rules = list({("big.org", p): ("big.org", p, r.choice(["allow", "block"])) for p in (path() for _ in range(10_000))}.values()) + [("org", "", "allow"), ("a.big.org", "/a", "block")]
+    by_path = {p: v for h, p, v in rules if h == "big.org"}
+    urls = [(r.choice(["big.org", "a.big.org", "x.a.big.org", "bigg.org", "org"]), path()) for _ in range(400)]
+
+    def want(host, p):
+        fits = [(len("org"), 3, "org", "allow")]
+        if host == "big.org" or host.endswith(".big.org"):
+            fits += [(7 + n, 7, "big.org" + p[:n], by_path[p[:n]]) for n in range(len(p) + 1) if p[:n] in by_path]
+        if host.endswith("a.big.org") and p.startswith("/a"):
+            fits.append((11, 9, "a.big.org/a", "block"))
+        return max(fits)[2:]
+
+    for jump in (url_filter.JUMP, 10**9):
+        monkeypatch.setattr(url_filter, "JUMP", jump)
+        rule, verdict = url_filter.RuleSweep(rules).sweep([url_filter.reversed_key(h) for h, _ in urls], [p for _, p in urls])
+        assert list(zip(rule, verdict)) == [want(*u) for u in urls]
+
+
 def brute(rows, threshold):
     n = len(rows)
     near = [set() for _ in rows]

@@ -7,14 +7,15 @@
 2. Documents with equal sets form a class; only its smallest id is compared further.
 3. Band buckets: every class is paired with the smallest of its bucket (a star, never all pairs), candidate texts are
    gathered once, pairs are verified on full sets and links grouped.
-4. Buckets that still hold several groups are searched for links across them. A document leaves the search if so many of
-   its shingles occur in no other document of these buckets that it cannot reach the similarity with any; pairs leave it
-   by the same bound for two, or if their signatures agree in less than ``SIGMAS`` standard deviations below what the
-   similarity implies. A pair is looked at in the first bucket the two share only, and its full sets are compared there: links come out
-   of that join, pairs do not.
+4. Buckets that still hold several groups are searched for links across them by exact bounds only. In an order of shingles
+   that puts those few documents have first, two sets of the similarity share one of their first n - ceil(0.8 n) + 1
+   shingles (their prefixes), so a document whose prefix no other document of these buckets shares leaves the search. A pair
+   of one bucket is looked at in the first bucket the two share; sizes, prefixes and at last the full sets are compared
+   there, and links come out of that join, not pairs. A bucket of more than ``SPLIT`` documents is dealt out by prefix
+   shingle first, so its work follows what its documents share beyond their common part, not the square of its size.
 
-At 0.8 and 30 bands of 5 rows a linked pair shares no band with probability 7e-6, and step 4 passes over one with less than
-4e-5; two groups stay apart only if that happens to every link between them.
+At 0.8 and 30 bands of 5 rows a linked pair shares no band with probability 7e-6; nothing else can lose a link, and two
+groups stay apart only if that happens to every link between them.
 
 Defined cases: null or blank texts have no shingles and link with nothing; rows with a null id count as one document that
 comes after all others (its component shows as null where it stands alone); rows with the same id count as one document,
@@ -30,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import NO_ID, components, durable, forget
+from courtside.llm.common import NO_ID, components, durable, forget, slices
 from courtside.llm.tokens import mix, shingles, words_of_batch
 
 WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 30, 5
-#: Standard deviations by which signature agreement may fall short.
-SIGMAS = 4
+#: Larger buckets are dealt out by prefix shingle.
+SPLIT = 5000
 #: Elements that get ranks together.
 CHUNK = 150_000
 _FRACTION = 24
@@ -101,58 +102,50 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, f1, f2, bands, sig) for (id, text): set size, set fingerprint (null for an empty set), band keys and the
-    signature in a byte for each place."""
+    """(id, n, f1, f2, bands) for (id, text): set size, set fingerprint (null for an empty set) and band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
-                sig = super_minhash(sets, bands * rows)
-                keys = band_keys(sig, bands, rows)
-                short = mix(sig.astype(np.uint64)).astype(np.uint8).view(np.int8)
-                empty = np.array([not len(s) for s in sets], dtype=bool)
-                with np.errstate(over="ignore"):
-                    f1 = np.array([np.add.reduce(s) for s in sets], dtype=np.uint64).view(np.int64)
-                    f2 = np.array([np.add.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5))) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(f1, pa.int64(), mask=empty),
-                        pa.array(f2, pa.int64(), mask=empty),
-                        pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1))),
-                        pa.ListArray.from_arrays(np.arange(0, short.size + 1, bands * rows, dtype=np.int32), pa.array(short.reshape(-1))),
-                    ],
-                    names=["id", "n", "f1", "f2", "bands", "sig"],
-                )
-
-    return docs.mapInArrow(sign, "id long, n long, f1 long, f2 long, bands array<long>, sig array<tinyint>")
+        for batch in slices(batches, 1):
+            sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
+            keys = band_keys(super_minhash(sets, bands * rows), bands, rows)
+            empty = np.array([not len(s) for s in sets], dtype=bool)
+            with np.errstate(over="ignore"):
+                f1 = np.array([np.add.reduce(s) for s in sets], dtype=np.uint64).view(np.int64)
+                f2 = np.array([np.add.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5))) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(f1, pa.int64(), mask=empty),
+                    pa.array(f2, pa.int64(), mask=empty),
+                    pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1))),
+                ],
+                names=["id", "n", "f1", "f2", "bands"],
+            )
+
+    return docs.mapInArrow(sign, "id long, n long, f1 long, f2 long, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The (a, b) of pairs whose full sets reach the similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                left, right = text_bytes(batch.column(2)), text_bytes(batch.column(3))
-                own = {t: None for t in left} | {t: None for t in right}
-                for t, w in zip(list(own), words_of_batch(list(own)), strict=True):
-                    own[t] = np.unique(shingles(w, words))
-                keep = []
-                for x, y in zip(left, right, strict=True):
-                    x, y = own[x], own[y]
-                    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) or not len(x):
-                        keep.append(False)
-                        continue
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
-                keep = np.array(keep, dtype=bool)
-                yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+        for batch in slices(batches, 3, rows=500):
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            left, right = text_bytes(batch.column(2)), text_bytes(batch.column(3))
+            own = {t: None for t in left} | {t: None for t in right}
+            for t, w in zip(list(own), words_of_batch(list(own)), strict=True):
+                own[t] = np.unique(shingles(w, words))
+            keep = []
+            for x, y in zip(left, right, strict=True):
+                x, y = own[x], own[y]
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) or not len(x):
+                    keep.append(False)
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = np.array(keep, dtype=bool)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
@@ -169,49 +162,67 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     """(id, set) of texts(id, text): the hashes of all their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)))], names=["id", "set"])
+        for batch in slices(batches, 1):
+            sets = [np.unique(shingles(w, words)) for w in words_of_batch(text_bytes(batch.column(1)))]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)))], names=["id", "set"])
 
     return texts.select("id", "text").mapInArrow(run, "id long, set array<long>")
 
 
-def lone_shingles(sets: DataFrame) -> DataFrame:
-    """(id, lone): how many shingles of each of sets(id, set) no other of them has."""
-    seen = sets.select("id", F.explode("set").alias("h")).groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
-    return seen.where("id = other").groupBy("id").agg(F.count("*").alias("lone"))
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, set, prefix) of sets(id, set), without those that no other can be similar to.
+
+    The order of shingles is: those in one document, those in two (by value), all others in the order of the sets. The
+    first kind is counted in the prefix and left out of it, as nothing can share it.
+    """
+    seen = sets.select("id", F.explode("set").alias("h")).groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("n <= 2")
+    own = seen.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("id"), "n", "h").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("few"))  # at most the set
+    met = sets.join(own, "id", "left").withColumn("few", F.coalesce("few", F.array().cast("array<struct<n:bigint,h:bigint>>")))
+    lone = F.size(F.filter("few", lambda x: x["n"] == 1))
+    size = F.size("set")
+    room = (size - F.floor((percent * size + 99) / 100) + 1 - lone).cast("int")
+    ordered = F.concat(F.transform(F.filter("few", lambda x: x["n"] == 2), lambda x: x["h"]), F.array_except("set", F.transform("few", lambda x: x["h"])))
+    return met.withColumn("room", room).where("room > 0").select("id", "set", F.slice(ordered, F.lit(1), F.col("room")).alias("prefix"))
 
 
 def links_across(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the links between different groups of buckets(key, id, group, set, lone, bands, sig).
+    """(a, b): the links between different groups of buckets(key, id, group, set, prefix, bands).
 
     The full sets are compared within the join, after the bounds, so only links leave it.
     """
-    side = lambda s: buckets.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "set", "lone", "bands", "sig")])
+    side = lambda s: buckets.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "set", "prefix", "bands")])
     n_a, n_b = F.size("set_a"), F.size("set_b")
     reach = lambda common: 100 * common >= percent * (n_a + n_b - common)
-    agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda z: z))
-    m, p = F.size("sig_a"), percent / 100
     # a case is decided by its first true branch, so the costly comparison comes last and rarely
     link = (
         F.when(F.col("group_a") >= F.col("group_b"), False)
-        .when(~reach(F.least(n_a - F.col("lone_a"), n_b - F.col("lone_b"))), False)
+        .when(~reach(F.least(n_a, n_b)), False)
         .when(F.get(F.array_intersect("bands_a", "bands_b"), 0) != F.col("key"), False)
-        .when(agree < F.floor(m * p - SIGMAS * F.sqrt(m * (p * (1 - p)))), False)
+        .when(~F.arrays_overlap("prefix_a", "prefix_b"), False)
         .otherwise(reach(F.size(F.array_intersect("set_a", "set_b"))))
     )
     return side("a").join(side("b").withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & link).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
+def pairs_across(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different groups of buckets(key, id, group, set, prefix) that share a prefix shingle there and
+    whose sizes allow the similarity."""
+    rows = buckets.select("key", "id", "group", F.size("set").alias("n"), F.explode("prefix").alias("h"))
+    several = durable(rows.groupBy("key", "h").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key", "h"))
+    rows = rows.join(several, ["key", "h"])
+    side = lambda s: rows.select(F.col("key").alias(f"key_{s}"), F.col("h").alias(f"h_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("id", "group", "n")])
+    fits = (F.col("group_a") < F.col("group_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    met = side("a").join(side("b"), (F.col("key_a") == F.col("key_b")) & (F.col("h_a") == F.col("h_b")) & fits)
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links reach) and kept (it is that id); a row per row of docs."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     sig = durable(signed(texts, words, bands, rows))
-    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
     keys = classes.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     buckets = durable(keys.join(shared, "key").select("key", "id", "first"))
@@ -223,11 +234,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = durable(mixed(placed))
     searched = candidates.join(open_.select("id").distinct(), "id", "left_semi")
     sets = durable(shingle_sets(searched, words))
-    able = sets.join(lone_shingles(sets), "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-    able = able.where(100 * (F.size("set") - F.col("lone")) >= percent * F.size("set"))
-    able = durable(able.join(classes.select("id", "bands", "sig"), "id"))
+    able = durable(prefixes(sets, percent).join(classes.select("id", "bands"), "id"))
     still = durable(mixed(open_.join(able.select("id"), "id")))
-    links = links.unionByName(links_across(still.join(able, "id"), percent))
+    large = durable(still.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT).select("key"))
+    links = links.unionByName(links_across(still.join(large, "key", "left_anti").join(able, "id"), percent))
+    if large.limit(1).count():
+        links = links.unionByName(verified(pairs_across(still.join(large, "key").join(able, "id"), percent), candidates, words, percent))
     groups = components(durable(links))
     # a class may stand for several rows; its group goes to all of them by the fingerprint
     own = classes.select("f1", "f2", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component"))

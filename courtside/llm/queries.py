@@ -113,6 +113,31 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+OP7_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END) AS h FROM w
+), size AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
+), pair AS (
+  SELECT c.a, c.b FROM common c JOIN size x ON x.doc_id = c.a JOIN size y ON y.doc_id = c.b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), link AS (
+  SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), lowest AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(coalesce(low, d.doc_id), d.doc_id) AS component_id,
+       least(coalesce(low, d.doc_id), d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN size z ON z.doc_id = d.doc_id LEFT JOIN lowest l ON l.a = d.doc_id
+"""
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -180,4 +205,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_near_vectors": OP5_SQL, "op8_license_scan": _op8_sql()}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_near_vectors": OP5_SQL, "op7_minhash": OP7_SQL, "op8_license_scan": _op8_sql()}

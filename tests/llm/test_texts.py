@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtside.llm import bpe, decontaminate, langid, license_scan, line_dedup, minhash, quality, suffix_dedup
+from courtside.llm.common import ascii_lower
 from courtside.llm.suffixes import Suffixes
 from courtside.llm.tokens import shingles, word_hashes, words_of_batch
 
@@ -117,6 +118,21 @@ def test_suffix_sort_orders_and_measures():
 # --- lines ---
 
 
+def test_ascii_lower_leaves_other_characters(spark):
+    points = [c for c in range(1, 0x1FFFF) if not 0xD800 <= c < 0xE000]
+    texts = [f"Ab{chr(c)}Z" for c in points] + [None, ""]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ascii_lower(F.col("t")).alias("x")).collect()
+    assert len(got) == len(texts) and all(r.x == (None if r.t is None else lower(r.t)) for r in got)
+
+
+def test_line_dedup_hot_keys_take_the_other_way(prose, monkeypatch):
+    table = prose.withColumn("text", F.concat(F.lit("one line in all of them\n"), "text", F.lit("\nsome lines are here")))
+    want = {(r.doc_id, r.kept_text, r.n_dropped) for r in line_dedup.dedup_lines(table).collect()}
+    for hot in (1, 10**9):  # no key is hot, and all are
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        assert {(r.doc_id, r.kept_text, r.n_dropped) for r in line_dedup.dedup_lines(table).collect()} == want
+
+
 def test_line_dedup(prose, odd_docs, no_docs):
     for table in (odd_docs, prose):
         rows = table.collect()
@@ -160,6 +176,21 @@ def test_near_duplicates_equal_brute_force(prose, words):
     assert all(got[i].kept == (want[i] == i) for i in range(len(sets)))
 
 
+def test_large_buckets_are_dealt_out_by_prefix(prose, monkeypatch):
+    want = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(prose, words=4).collect()}
+    star, calls = minhash.verified, []
+
+    def none_at_first(pairs, *rest):  # without the star's links all groups are left to the search across them
+        calls.append(1)
+        return star(pairs, *rest).limit(0) if len(calls) == 1 else star(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "verified", none_at_first)
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(prose, words=4).collect()} == want and len(calls) == 1
+    calls.clear()
+    monkeypatch.setattr(minhash, "SPLIT", 1)
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(prose, words=4).collect()} == want and len(calls) == 2
+
+
 def test_near_duplicates_odd_cases(odd_docs, no_docs):
     got = {}
     for r in minhash.near_duplicates(odd_docs, words=4).collect():
@@ -382,6 +413,9 @@ def test_license_scan(spark, odd_docs, no_docs):
     assert got[3].n_base == 0 and got[3].first_word is None and got[3].labels == "" and got[3].score == 0
     assert got[4].base_labels == "gpl" and got[4].labels == "cc-by-nc-4.0,gpl"
     assert got[5].n_words == got[6].n_words == 0
+    more = license_scan.read_templates(spark.createDataFrame([("own", "you may use this for any purpose", "any purpose", False), ("one", "zlib", "zlib", True)], "label string, words string, key string, base boolean"))
+    seen = license_scan.scan_licenses(spark.createDataFrame([(1, "You may use this for ANY purpose."), (2, "purpose any"), (3, "any any purpose zlib")], "doc_id long, text string"), templates=more)
+    assert {r.doc_id: (r.labels, r.n_base) for r in seen.collect()} == {1: ("own", 0), 2: ("", 0), 3: ("one", 1)}
     assert license_scan.scan_licenses(odd_docs).count() == odd_docs.count() and license_scan.scan_licenses(no_docs).count() == 0
 
 

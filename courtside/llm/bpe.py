@@ -29,10 +29,12 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from courtside.llm.common import cut_by, slices
+
 #: Entries of each table that a task keeps (matches, token pairs).
 CACHE = 300_000
-#: Texts handled together.
-ROWS = 500
+#: Texts handled together, and ids decoded together (one list at least).
+ROWS, IDS = 500, 2 << 20
 #: Rank files up to this size may be broadcast.
 MAX_RANK_BYTES = 64 << 20
 _NEVER = 1 << 62
@@ -258,12 +260,10 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks.value, pattern)  # a task's own: idle workers keep no tables
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                ids = encoder.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))], names=[*kept, "tokens"])
+        for batch in slices(batches, text_col, rows=ROWS):
+            ids = encoder.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))], names=[*kept, "tokens"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", tokens array<int>"
     return docs.select(*dict.fromkeys([text_col, *kept])).mapInArrow(run, schema)
@@ -279,8 +279,8 @@ def decode(encoded: DataFrame, ranks: Broadcast, tokens_col: str = "tokens") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(parse_ranks(ranks.value))
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
+            sizes = pc.fill_null(pc.list_value_length(whole.column(at_tokens)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for batch in cut_by(whole, sizes, ROWS, IDS):
                 lists = batch.column(at_tokens)
                 ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))).astype(np.int64)
                 data, stops = decoder.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends)

@@ -50,33 +50,36 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def cut_by(batch: pa.RecordBatch, sizes: np.ndarray, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows whose sizes add up to about ``size`` (one row at least)."""
+    if not batch.num_rows:
+        yield batch
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        stop = int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + size, "right"))
+        stop = min(max(stop, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int | str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose values of a string column hold about ``size`` bytes (one row at least) and that have
     at most ``rows`` rows; an empty batch is one slice."""
     for batch in batches:
-        if not batch.num_rows:
-            yield batch
-            continue
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            before = int(ends[at - 1]) if at else 0
-            stop = int(np.searchsorted(ends, before + size, "right"))
-            stop = min(max(stop, at + 1), at + rows, batch.num_rows)
-            yield batch.slice(at, stop - at)
-            at = stop
+        yield from cut_by(batch, pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64), rows, size)
 
 
-# The characters beyond ASCII that lower-casing changes.
-_OTHER_CAPITALS = r"[[\p{Lu}\p{Lt}\x{2160}-\x{216F}\x{24B6}-\x{24CF}]&&[^A-Z]]"
+#: Anything but characters that lower-casing is sure to leave alone or that are A-Z: ASCII, Latin-1 without its capitals,
+#: general punctuation, CJK and Hangul.
+_DOUBTFUL = r"[^\x00-\xBF\xD7\xDF-\xFF\u2000-\u206F\u3000-\u9FFF\uAC00-\uD7A3]"
 
 
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is.
 
-    Plain lower-casing does that wherever no other capitals occur; translating character by character is for the rest.
+    Plain lower-casing does that wherever no character is in doubt; translating character by character is for the rest.
     """
-    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_OTHER_CAPITALS))
+    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_DOUBTFUL))
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 

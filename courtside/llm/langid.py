@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.llm.common import slices
+
 SAMPLE, SAMPLE_CHARS, LANDMARKS = 1200, 20_000, 240
 RIDGE = 1e-2
 NONE = "und"
@@ -169,11 +171,9 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                lang, score = scorer.score(batch.column(text_col).to_pylist())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*carry, "lang_pred", "score"])
+        for batch in slices(batches, text_col, rows=500):
+            lang, score = scorer.score(batch.column(text_col).to_pylist())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*carry, "lang_pred", "score"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", lang_pred string, score double"
     return docs.select(*dict.fromkeys([text_col, *carry])).mapInArrow(run, schema)

@@ -6,15 +6,16 @@
 2. Sites: a grouped aggregation gives each path (within its host) the number and the sum of quality evidence of its
    documents. Host means are shrunk toward the global mean and path means toward their host's, with prior strengths from
    the spread of means beyond sampling noise (method of moments), so sparse sites keep close to what lies above them.
+   A document's own evidence is left out of the means it meets, so that it doesn't count twice.
 3. Posterior: the odds of a document's evidence times the odds of its path's mean over those of the global mean.
    It is kept if the posterior of quality reaches ``threshold`` and toxicity stays below it.
 
 Only numbers are shuffled; sums of a hot host combine before the shuffle, and the join back on it is one that AQE splits
-(or, with few sites, broadcasts by their measured size).
+(or, with few sites, broadcasts by their measured size). The driver receives at most ``SAMPLE`` texts for the fit.
 
 Defined cases: a null or empty text is scored as an empty one; null hosts and paths are sites of their own; rows repeat as
-they are; labels that are null or whose document is missing are not learned, and repeated labels of a document count
-repeatedly; without labels of both kinds a model answers with the share it has seen (0.5 without any, toxicity 0); extra
+they are; labels that are null or whose document is missing are not learned; of several labels or texts of one id the smallest are
+taken; without labels of both kinds a model answers with the share it has seen (0.5 without any, toxicity 0); extra
 columns are not read; an empty table gives an empty result.
 """
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import durable
+from courtside.llm.common import durable, slices
 from courtside.llm.minhash import text_bytes
 from courtside.llm.tokens import word_hashes
 
@@ -123,12 +124,13 @@ def fit_logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, featu
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", toxic_col: str = "toxic", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> tuple[Logistic, Logistic]:
     """The models of quality and of toxicity, from a bounded sample of labelled documents."""
     own = labels.select(F.col(id_col).alias("k"), F.col(quality_col).alias("q"), F.col(toxic_col).alias("x")).where("k is not null and q is not null and x is not null")
-    part = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
-    n = own.count()
-    picked = own.where(part < int(min(1.0, 1.2 * sample / max(n, 1)) * (1 << 30)) + 1).withColumn("h", part).limit(2 * sample)
-    # at most 2 * sample rows of three numbers are broadcast
-    met = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.length("t") <= sample_chars).join(F.broadcast(picked), "k").select("h", "k", "t", "q", "x").collect()
-    met = sorted(met, key=lambda r: (r["h"], r["k"], r["t"]))[:sample]
+    own = own.groupBy("k").agg(F.min(F.struct("q", "x")).alias("m")).select(F.xxhash64("k").alias("h"), "k", "m.q", "m.x")
+    usable = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.length("t") <= sample_chars)
+    # the ids are picked first, by hash, so texts are gathered for the sample only; repeated ids combine before the shuffle
+    ids = own.join(usable.select("k").distinct(), "k", "left_semi").orderBy("h", "k").limit(sample)
+    picked = durable(ids)
+    met = usable.join(F.broadcast(picked), "k").groupBy("h", "k", "q", "x").agg(F.min("t").alias("t")).collect()  # at most sample rows
+    met = sorted(met, key=lambda r: (r["h"], r["k"]))
     rows = [measures(r["t"].encode()) for r in met]
     quality = fit_logistic(rows, np.array([float(r["q"] > 0) for r in met]))
     toxic = fit_logistic(rows, np.array([float(r["x"] > 0) for r in met]))
@@ -143,15 +145,13 @@ def evidence(docs: DataFrame, models: tuple[Logistic, Logistic], id_col: str, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quality, toxic = shared.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                q, x = [], []
-                for text in text_bytes(batch.column(0)):
-                    form, codes = measures(text)
-                    q.append(float(np.clip(quality.logit(form, codes), -30, 30)))
-                    x.append(1 / (1 + float(np.exp(-np.clip(toxic.logit(form, codes), -30, 30)))))
-                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(q, pa.float64()), pa.array(x, pa.float64())], names=["id", "host", "path", "q", "toxicity"])
+        for batch in slices(batches, 0):
+            q, x = [], []
+            for text in text_bytes(batch.column(0)):
+                form, codes = measures(text)
+                q.append(float(np.clip(quality.logit(form, codes), -30, 30)))
+                x.append(1 / (1 + float(np.exp(-np.clip(toxic.logit(form, codes), -30, 30)))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(q, pa.float64()), pa.array(x, pa.float64())], names=["id", "host", "path", "q", "toxicity"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(text_col).alias("t"), F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"))
@@ -178,11 +178,15 @@ def classify(docs: DataFrame, models: tuple[Logistic, Logistic], id_col: str = "
     total = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     rate = float(np.clip(total["s"] / total["n"], 1e-6, 1 - 1e-6)) if total["n"] else 0.5
     k_host = strength(hosts.withColumn("m", F.col("s") / F.col("n")).withColumn("above", F.lit(rate)), "m", "above", rate)
-    hosts = hosts.select("host", ((F.col("s") + k_host * rate) / (F.col("n") + k_host)).alias("host_quality"))
-    met = paths.join(hosts, "host")
-    k_path = strength(met.withColumn("m", F.col("s") / F.col("n")), "m", "host_quality", rate)
-    sites = durable(met.select("host", "path", "host_quality", ((F.col("s") + k_path * F.col("host_quality")) / (F.col("n") + k_path)).alias("path_quality")))
+    shrunk = lambda total, n, k, above: (total + k * above) / (n + k)
+    met = paths.join(hosts.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s")), "host")
+    whole = met.withColumn("above", shrunk(F.col("host_s"), F.col("host_n"), k_host, rate)).withColumn("m", F.col("s") / F.col("n"))
+    k_path = strength(whole, "m", "above", rate)
+    sites = durable(met)
+    # what a document meets are the sums of the others
+    host = shrunk(F.col("host_s") - F.col("p"), F.col("host_n") - 1, k_host, rate)
+    path = shrunk(F.col("s") - F.col("p"), F.col("n") - 1, k_path, F.col("host_quality"))
     odds = lambda c: F.log(c / (1 - c))
     shift = odds(F.greatest(F.least(F.col("path_quality"), F.lit(1 - 1e-6)), F.lit(1e-6))) - float(np.log(rate / (1 - rate)))
-    out = scored.join(sites, ["host", "path"]).withColumn("quality", 1 / (1 + F.exp(-(F.col("q") + shift))))
+    out = scored.join(sites, ["host", "path"]).withColumn("host_quality", host).withColumn("path_quality", path).withColumn("quality", 1 / (1 + F.exp(-(F.col("q") + shift))))
     return out.select(F.col("id").alias(id_col), F.col("p").alias("evidence"), "host_quality", "path_quality", "quality", "toxicity", ((F.col("quality") >= threshold) & (F.col("toxicity") < threshold)).alias("kept"))

@@ -398,6 +398,51 @@ def test_quality(spark, odd_docs, no_docs, docs_schema):
     assert all(x.kept for x in quality.classify(table, none).collect())
 
 
+def test_quality_sample_is_bounded(spark, docs_schema, monkeypatch):
+    """A repeated document and one with thousands of labels count once."""
+    met = []
+    monkeypatch.setattr(quality, "fit_logistic", lambda rows, y, *a, real=quality.fit_logistic: met.append(len(rows)) or real(rows, y, *a))
+    docs = spark.createDataFrame([(7, "the same text", "en", "s", 13)] * 5000 + [(i, f"text {i}", "en", "s", 7) for i in range(100, 140)] + [(None, "x", None, None, None)], docs_schema)
+    labels = spark.createDataFrame([(7, 1, 0)] * 3000 + [(i, i % 2, 0) for i in range(100, 140)], "doc_id long, quality int, toxic int")
+    quality.fit(docs, labels, sample=30)
+    quality.fit(docs, labels)
+    assert met == [30, 30, 41, 41]
+
+
+def test_quality_equals_brute_force(spark, docs_schema):
+    r = random.Random(13)
+    rows = [(i if i % 11 else None, " ".join(r.choice(["good", "BAD!!", "fine", "12"]) for _ in range(r.randint(0, 9))), r.choice(["a", "b", None]), r.choice(["s", "t", "u", None]), 1) for i in range(300)]
+    flat = quality.Logistic(np.zeros(7), np.ones(7), np.array([0.1, 0, 0, -2, -3, -2.0, 0.3]), np.empty(0, np.uint64), np.empty(0), 0.4)
+    calm = quality.Logistic(np.zeros(7), np.ones(7), np.zeros(7), np.empty(0, np.uint64), np.empty(0), -30.0)
+    got = sorted(map(str, quality.classify(spark.createDataFrame(rows, docs_schema), (flat, calm)).select("doc_id", F.round("path_quality", 9), F.round("quality", 9), "kept").collect()))
+    p = [1 / (1 + math.exp(-flat.logit(*quality.measures(t.encode())))) for _, t, *_ in rows]
+    rate = sum(p) / len(p)
+
+    def sums(key):
+        out = {}
+        for x, row in zip(p, rows):
+            n, s = out.get(key(row), (0, 0.0))
+            out[key(row)] = (n + 1, s + x)
+        return out
+
+    def prior(groups, above):
+        between = sum(n * (s / n - above(k)) ** 2 for k, (n, s) in groups.items()) / len(p) - len(groups) / len(p) * rate * (1 - rate)
+        return min(1e6, max(1.0, rate * (1 - rate) / max(between, 1e-9) - 1))
+
+    hosts, paths = sums(lambda x: x[3]), sums(lambda x: (x[3], x[2]))
+    k_host = prior(hosts, lambda _: rate)
+    k_path = prior(paths, lambda k: (hosts[k[0]][1] + k_host * rate) / (hosts[k[0]][0] + k_host))
+    want = []
+    for x, row in zip(p, rows):
+        (n, s), (m, t) = hosts[row[3]], paths[row[3], row[2]]
+        host = (s - x + k_host * rate) / (n - 1 + k_host)
+        path = (t - x + k_path * host) / (m - 1 + k_path)
+        odds = x / (1 - x) * path / (1 - path) / rate * (1 - rate)
+        want.append((row[0], path, odds / (1 + odds)))
+    table = spark.createDataFrame(want, "doc_id long, path_quality double, quality double").select("doc_id", F.round("path_quality", 9), F.round("quality", 9), (F.col("quality") >= 0.5).alias("kept"))
+    assert got == sorted(map(str, table.collect()))
+
+
 def test_sparse_sites_shrink(spark, docs_schema):
     flat = quality.Logistic(np.zeros(7), np.ones(7), np.array([0, 0, 0, 0, 0, -60.0, 0]), np.empty(0, np.uint64), np.empty(0), 3.0)
     rows = [(i, "good text here", "en", "big", 1) for i in range(200)] + [(1000 + i, "GOOD TEXT", "en", "bad", 1) for i in range(200)] + [(2000, "GOOD TEXT", "en", "rare", 1)]
@@ -423,6 +468,45 @@ def test_sha_of_empty():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
 
 
+def test_language_sample_of_one_repeated_text(spark, docs_schema):
+    for text in ("the same words", "der gleiche Text", "un seul texte", "x"):
+        docs = spark.createDataFrame([(i, text, "aa", "s", 1) for i in range(5000)], docs_schema)
+        model = langid.fit(langid.train_part(docs).select("text", "lang"))
+        assert model.languages == ("aa",)
+        assert {(r.lang_pred, r.n) for r in langid.identify(docs, model).groupBy("lang_pred").agg(F.count("*").alias("n")).collect()} == {("aa", 5000)}
+
+
+def test_kernel_ridge_equals_an_unfolded_solve():
+    """Scores against the kernel matrices written out, with Nystroem features by an eigendecomposition of their own."""
+    r = random.Random(14)
+    texts = ["".join(r.choice("abcdé ") for _ in range(r.randint(5, 40))) for _ in range(60)]
+    langs = [("x", "y", "z")[t.count("a") % 3] for t in texts]
+    model = langid.fit_texts(texts, langs, landmarks=25)
+
+    def grams(t, n):
+        b = t.lower().encode()
+        return {b[i : i + n] for i in range(len(b) - n + 1)}
+
+    def kernel(s, t):
+        return sum(len(grams(s, n) & grams(t, n)) / math.sqrt(len(grams(s, n)) * len(grams(t, n))) for n in langid.ORDERS) / 3
+
+    k = np.array([[kernel(s, t) for t in texts[:25]] for s in texts])
+    value, vector = np.linalg.eigh(k[:25])
+    phi = k @ vector[:, value > 1e-8] / np.sqrt(value[value > 1e-8])
+    weight = np.array([1 / langs.count(x) for x in langs])
+    weight *= len(texts) / weight.sum()
+    root = np.sqrt(weight)[:, None]
+    for c, lang in enumerate(model.languages):
+        y = np.where(np.array(langs) == lang, 1.0, -1.0)
+        # an unpenalised intercept as one more column, solved as least squares with the penalty as rows
+        x = np.column_stack([phi, np.ones(len(texts))])
+        penalty = np.sqrt(langid.RIDGE * len(texts) / 100) * np.eye(x.shape[1])[:-1]
+        beta, *_ = np.linalg.lstsq(np.vstack([root * x, penalty]), np.concatenate([root[:, 0] * y, np.zeros(len(penalty))]), rcond=None)
+        own = langid.Scorer(model)
+        got = [model.bias[c] + sum(float(model.weights[o][[i for i in own.tables[o][s] if i >= 0], c].sum()) / math.sqrt(len(s)) for o, s in enumerate(own.grams.distinct(t))) for t in texts]
+        assert np.abs(x @ beta - got).max() < 1e-4
+
+
 def test_language_sample_has_every_language(spark):
     rows = [("the same words again and again", "en")] * 400 + [(f"der text nummer {i} ist ganz kurz und klein", "de") for i in range(300)] + [("une phrase courte en langue rare", "fr")]
     model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample=20)

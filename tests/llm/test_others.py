@@ -125,6 +125,30 @@ def test_near_vectors_links_of_tight_groups(spark):
     assert len(got) == 200 and {x.n_links for x in got} == {199} and {x.component_id for x in got} == {0} and [x.vec_id for x in got if x.kept] == [0]
 
 
+def test_near_vectors_audit_sees_rare_links(spark, caplog):
+    """Six planted pairs among thousands of spread vectors: short lists miss some, and the audit must not take that for all."""
+    r = np.random.default_rng(9)
+    x = r.normal(size=(3000, 24))
+    pairs = [v + r.normal(size=24) * 0.02 for v in x[:6]]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate([*x, *pairs])]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), k=2, tables=1, block=4).collect()
+    assert sorted((a.vec_id, a.component_id) for a in got if a.n_links) == sorted([(i, i) for i in range(6)] + [(3000 + i, i) for i in range(6)])
+
+
+def test_near_vectors_with_poor_lists_are_compared_exactly(spark, monkeypatch):
+    """Lists of one and no descent find few links, so the audit sends everything the exact way."""
+    monkeypatch.setattr(near_vectors, "ROUNDS", 0)
+    r = np.random.default_rng(10)
+    rows = []
+    for _ in range(60):
+        base = r.normal(size=12)
+        rows += [(base + r.normal(size=12) * 0.05).tolist() for _ in range(5)]
+    rows = [(i, v, 0) for i, v in enumerate(rows)]
+    near, low = brute(rows, 0.98)
+    got = {a.vec_id: a for a in near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), k=1, tables=1, block=3, audit=100).collect()}
+    assert [got[i].n_links for i in range(len(rows))] == [len(s) for s in near] and [got[i].component_id for i in range(len(rows))] == low
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)]

@@ -6,13 +6,17 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from brute import best_overlap
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from courtside.llm import near_vectors, url_filter
+from courtside.llm import bpe, langid, near_vectors, url_filter
 from courtside.llm.common import components
 from courtside.llm.queries import URL_RULES
 
+tiktoken = pytest.importorskip("tiktoken")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
 
 def split_url(url):
     if url is None or "://" not in url:
@@ -161,21 +165,80 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_pipeline(spark, tmp_path, prose, odd_docs):
-    bench = spark.createDataFrame([(0, prose.where("length(text) > 200").orderBy("doc_id").first().text)], "item_id long, text string")
-    docs = prose.unionByName(odd_docs.withColumn("doc_id", F.col("doc_id") + 1000))
+def expected(rows, items, learned):
+    """The pipeline's rows by brute force: (doc_id, lang, source, token ids), and how many rows each stage keeps."""
+    big = 1 << 62
+    own = lambda i: big if i is None else i
+    lower = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+    counts = []
+    # language
+    scorer = langid.Scorer(learned)
+    rows = [(r.doc_id, r.text, r.lang or scorer.score([r.text])[0][0], r.source) for r in rows if r.text and any(c.isalpha() for c in r.text)]
+    counts.append(len(rows))
+    # lines
+    key = lambda x: lower(x.strip(" \t\n\x0b\x0c\r"))
+    holders = {}
+    for i, text, *_ in rows:
+        for x in text.split("\n"):
+            if len(key(x)) >= 10:
+                holders.setdefault(key(x), set()).add(own(i))
+    after = []
+    for i, text, *rest in rows:
+        stay = [x for x in text.split("\n") if len(holders.get(key(x), ())) < 2 or min(holders[key(x)]) == own(i)]
+        if "\n".join(stay).strip(" \t\n\x0b\x0c\r") or len(stay) == len(text.split("\n")):
+            after.append((i, "\n".join(stay), *rest))
+    rows = after
+    counts.append(len(rows))
+    # near copies
+    texts = sorted({(own(i), t) for i, t, *_ in rows})
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := words(t)) else set() for _, t in texts]
+    low = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if low[a] != low[b] and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    low[a] = low[b] = min(low[a], low[b])
+        if all(low[low[a]] == low[a] for a in range(len(texts))):
+            break
+    kept = {texts[a] for a in range(len(texts)) if low[a] == a}
+    rows = [r for r in rows if (own(r[0]), r[1]) in kept]
+    counts.append(len(rows))
+    # benchmark
+    rows = [r for r in rows if not any(best_overlap(words(r[1]), words(item)) for item in items)]
+    counts.append(len(rows))
+    with open(public_tokenizers.path(corpus_pipeline.RANKS), "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(f.read()), special_tokens={})
+    return [(i, lang, source, library.encode_ordinary(t)) for i, t, lang, source in rows], counts
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path, prose, odd_docs, caplog):
+    caplog.set_level("INFO", logger="corpus_pipeline")
+    r = random.Random(15)
+    v = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    text = lambda n: " ".join(r.choice(v) for _ in range(n))
+    items = [text(30), text(12), prose.where("length(text) > 200").orderBy("doc_id").first().text]
+    swapped = " ".join(w if k % 9 else "other" for k, w in enumerate(items[0].split()))
+    extra = [(3000, text(20) + " " + items[0].upper() + " " + text(5), None, "s", 1), (3001, swapped, "en", "s", 1), (3002, items[1], "en", "s", 1), (3003, "all of this\nstands elsewhere", "en", "s", 1), (2999, "ALL OF THIS \nmore of it\nstands elsewhere", "en", "s", 1)]
+    docs = prose.unionByName(odd_docs.withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(spark.createDataFrame(extra, prose.schema))
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    learned = langid.fit(langid.train_part(frame).select("text", "lang"))
+    want, counts = expected(frame.collect(), items, learned)
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    ids = [x.doc_id for x in got]
-    assert all(x.round_trip for x in got) and got and not {1003, 1004, 1005, 1008} & set(ids)  # no letters
-    flagged = prose.where("length(text) > 200").orderBy("doc_id").first().doc_id
-    assert flagged not in ids
+    assert sorted(str((x.doc_id, x.lang, x.source, x.tokens)) for x in got) == sorted(map(str, want))
+    assert all(x.round_trip and x.n_tokens == len(x.tokens) for x in got)
+    assert not {1003, 1004, 1005, 1008, 3000, 3001, 3002, 3003} & {x.doc_id for x in got} and len(set(counts)) == 4
+    assert [int(re.search(r"(\d+) rows", m)[1]) for m in caplog.messages if "keeps" in m] == counts
+
+
+def test_pipeline_stages_keep_the_columns(spark, tmp_path, odd_docs):
+    spark.createDataFrame([(0, "one two three four five six")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     names = list(corpus_pipeline.COLUMNS)
-    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, frame, str(tmp_path)).columns == names and stage(spark, frame.limit(0), str(tmp_path)).count() == 0
-    assert corpus_pipeline.STAGES[-1][1](spark, frame.limit(0), str(tmp_path)).count() == 0
+        assert stage(spark, odd_docs, str(tmp_path)).columns == names and stage(spark, odd_docs.limit(0), str(tmp_path)).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, odd_docs.limit(0), str(tmp_path)).count() == 0
     assert len(corpus_pipeline.STAGES) == 5
 
 

@@ -69,18 +69,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: int | str, rows: int = SLI
         yield from cut_by(batch, pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64), rows, size)
 
 
-#: Anything but characters that lower-casing is sure to leave alone or that are A-Z: ASCII, Latin-1 without its capitals,
-#: general punctuation, CJK and Hangul.
-_DOUBTFUL = r"[^\x00-\xBF\xD7\xDF-\xFF\u2000-\u206F\u3000-\u9FFF\uAC00-\uD7A3]"
-
-
 def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased, every other character as it is.
-
-    Plain lower-casing does that wherever no character is in doubt; translating character by character is for the rest.
-    """
-    plain = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_DOUBTFUL))
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    """A-Z lower-cased, every other character as it is; plain lower-casing does that where all are ASCII."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Licence scans by a positional rare-token index, with DataFrame operations only.
 
 The templates (licence lines and, for the base labels, bare phrases) are indexed by word and position. One aggregation
-over all documents counts in how many each template word occurs; the words with the highest inverse document frequency
-of each template are its anchors. In a file, every anchor word met looks up its postings; file position minus template
-position is where a copy of the template would start, and postings that agree on the start fall together. A start is
-verified in the file's words: the template's mandatory key phrase must stand there in full and the share of the
-template's IDF weight found in place must reach ``min_share``.
+over all documents counts in how many each template word occurs; the ``rare`` words with the highest inverse document
+frequency of each template's key phrase are its anchors, ranked by rarity, and each rank has an index of its own. In a file,
+every anchor word met looks up its postings; file position minus template position is where a copy of the template would
+start. The starts that one rank's postings give are intersected with those of the next (which is looked up only where any
+are left), so a start is looked at only if all anchors of the template stand at the right distances. It is verified in the file's words: the template's mandatory key
+phrase must stand there in full and the share of the template's IDF weight found in place must reach ``min_share``.
 
 Nothing is shuffled but the document frequencies (a row per template word and task), which also are all that reaches the
 driver: at most the templates' vocabulary. The scan is one projection over whole texts, so hot sources and long files
@@ -66,17 +67,31 @@ TEMPLATES = (
 MIN_SHARE = 0.5
 #: Anchors for each template.
 RARE = 2
+#: Templates become part of the plan, so a table of them is bounded.
+MAX_TEMPLATES = 1000
 
 
 def words_of(text: Column) -> Column:
     """The lower-cased words of a text, in order."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS, -1), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(text), SEPARATORS, -1), "")
+
+
+def read_templates(table: DataFrame) -> tuple[Template, ...]:
+    """The templates of a table (label, words, key, base) of at most MAX_TEMPLATES rows, which is checked."""
+    rows = table.select("label", "words", "key", "base").limit(MAX_TEMPLATES + 1).collect()
+    if len(rows) > MAX_TEMPLATES:
+        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+    for r in rows:
+        if f" {r['key']} " not in f" {r['words']} ":
+            raise ValueError(f"the key phrase {r['key']!r} is not in its template")
+    return tuple(Template(r["label"], r["words"], r["key"], r["base"]) for r in rows)
 
 
 def document_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """How many rows there are, and how many hold each word of the vocabulary."""
-    held = F.array_intersect(words_of(F.col(text_col)), F.array(*map(F.lit, vocabulary)))
-    rows = docs.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
+    held = F.array_intersect(F.split(F.col(text_col), SEPARATORS, -1), F.array(*map(F.lit, vocabulary)))
+    lowered = docs.select(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias(text_col))
+    rows = lowered.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
     found = {r["w"]: r["count"] for r in rows}
     return found.pop("", 0), found
 
@@ -96,14 +111,16 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     vocabulary = sorted({w for t in templates for w in t.words.split()})
     n, df = document_frequencies(docs, "_text", vocabulary)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1 for w in vocabulary}
-    postings = []
+    ranks: list[list[tuple[str, int, int]]] = [[] for _ in range(rare)]
     for k, t in enumerate(templates):
-        # an anchor lies in the key phrase, which must stand in full, so no verified start is missed
-        key = range(key_at(t), key_at(t) + len(t.key.split()))
-        for i in sorted(key, key=lambda i: (-idf[t.words.split()[i]], i))[: 1 if t.base else rare]:
-            postings.append((t.words.split()[i], k, i))
-    anchors = sorted({w for w, _, _ in postings})
-    index = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(k).alias("k"), F.lit(i).alias("i")) for w, k, i in postings])
+        # anchors lie in the key phrase, which must stand in full, so no verified start is missed
+        words, key = t.words.split(), range(key_at(t), key_at(t) + len(t.key.split()))
+        rarest = sorted(key, key=lambda i: (-idf[words[i]], i))
+        for r, own in enumerate(ranks):
+            i = rarest[min(r, len(rarest) - 1)]
+            own.append((words[i], k, i))
+    index = [F.array(*[F.struct(F.lit(w).alias("w"), F.lit(k).alias("k"), F.lit(i).alias("i")) for w, k, i in own]) for own in ranks]
+    anchors = [sorted({w for w, _, _ in own}) for own in ranks]
 
     def verify(c: Column) -> Column:
         """The share of the template at its start, or null where its key phrase isn't there."""
@@ -122,14 +139,23 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             case = F.when(c["k"] == k, branch) if case is None else case.when(c["k"] == k, branch)
         return case
 
-    places = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda p: F.get(F.col("_words"), p).isin(anchors))
-    starts = F.flatten(F.transform(F.col("_places"), lambda p: F.transform(F.filter(F.col("_index"), lambda e: e["w"] == F.get(F.col("_words"), p)), lambda e: F.struct(e["k"].alias("k"), (p - e["i"]).alias("s")))))
+    def starts(r: int) -> Column:
+        """(template, start) of every posting of rank r that its anchor words look up."""
+        places = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda p: F.get(F.col("_words"), p).isin(anchors[r]))
+        met = lambda p: F.filter(F.col(f"_index{r}"), lambda e: e["w"] == F.get(F.col("_words"), p))
+        return F.flatten(F.transform(places, lambda p: F.transform(met(p), lambda e: F.struct(e["k"].alias("k"), (p - e["i"]).alias("s")))))
+
     none = F.array().cast("array<struct<k:int,s:int>>")
     found = (
-        docs.withColumn("_words", words_of(F.col("_text")))
-        .withColumn("_places", F.when(F.arrays_overlap("_words", F.array(*map(F.lit, anchors))), places))
-        .withColumn("_index", index)
-        .withColumn("_starts", F.when(F.col("_places").isNull(), none).otherwise(F.array_distinct(starts)))
+        docs.withColumn("_text", F.coalesce("_text", F.lit("")))
+        .withColumn("_words", words_of(F.col("_text")))
+        .withColumns({f"_index{r}": own for r, own in enumerate(index)})
+        .withColumn("_starts", F.when(F.arrays_overlap("_words", F.array(*map(F.lit, anchors[0]))), F.array_distinct(starts(0))).otherwise(none))
+    )
+    for r in range(1, rare):
+        found = found.withColumn("_starts", F.when(F.size("_starts") > 0, F.array_intersect("_starts", starts(r))).otherwise(none))
+    found = (
+        found
         .withColumn("_seen", F.filter(F.transform("_starts", lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), verify(c).alias("share"))), lambda c: c["share"].isNotNull() & ((c["share"] >= min_share) | F.lit(min_share <= 0))))
     )
     label = F.array(*[F.lit(t.label) for t in templates])

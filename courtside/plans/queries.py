@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import closing
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from courtside.functions.seasons import end_year, end_year_col, season_name
 from courtside.operators import evaluate, features, ingest, interactions, possessions, priors, rapm, validate
 from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
 from courtside.operators.ridge import solve
-from courtside.operators.tune import Search, candidate_grids, descend
+from courtside.operators.tune import Search, descend
 from courtside.operators.weights import Knobs, with_multiplier
 from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, features_of_sql, statistics, stints, table
 from courtside.plans.driver import features as feature_frames
@@ -493,11 +495,6 @@ def tune_search(spark: SparkSession, d: str) -> DataFrame:
     The table has no season before its first, so last-season priors are left out as in tune().
     """
     s = stints(spark, d)
-    search = Search(s, 3, 0.2)
-    try:
-        keys = [p.key for p in search.data.cube.parts]
-        grids = candidate_grids(s.columns, len({k["season"] for k in keys}), len({k["season_type"] for k in keys}), False)
-        _, _, history = descend(search, TUNED_KEYS | {"lambda": 500.0}, grids)
-    finally:
-        search.close()
-    return spark.createDataFrame([(h["note"], str(h["config"]), h["mse"]) for h in history], "coordinate string, option string, mse double")
+    with closing(Search(s, 3, 0.2)) as search:
+        found = descend(search.score, TUNED_KEYS | {"lambda": 500.0}, search.grids(False))
+    return spark.createDataFrame([(h["note"], str(h["config"]), h["mse"]) for h in found.tried], "coordinate string, option string, mse double")

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import sys
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from courtside.functions.seasons import default_data_dir, parse_season_types, parse_seasons
+from courtside.operators.ingest import build_many
 from courtside.operators.interactions import BOUNDS
 from courtside.operators.scopes import PRIOR_KINDS
+from courtside.sources.schedule import season_game_ids
+from courtside.sources.web import League
 
 
 def penalty(text: str) -> float | str:
@@ -35,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--data-dir", type=Path, default=default_data_dir())
         p.add_argument("--seasons", type=parse_seasons, default=seasons)
         p.add_argument("--season-types", type=parse_season_types, default="regular,playoffs")
+        p.add_argument("--online", action="store_true", help="ask the league's statistics API for what isn't cached")
         return p
 
     p = command("build", cmd_build)
@@ -96,11 +101,23 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def cmd_build(a, spark) -> int:
-    from courtside.operators.ingest import build_many
+def league(a) -> League | None:
+    return League() if a.online else None
+
 
-    for r in build_many(spark, a.data_dir, a.seasons, a.season_types, game_limit=a.game_limit, refresh_schedule=a.refresh_schedule, retry_failed=a.retry_failed):
+def cmd_build(a, spark) -> int:
+    web, options = league(a), {}
+    if web:
+        options = {"fetch": web.play_by_play, "game_ids": functools.partial(season_game_ids, fetch=web.schedule)}
+    reports = build_many(spark, a.data_dir, a.seasons, a.season_types, game_limit=a.game_limit, refresh_schedule=a.refresh_schedule, retry_failed=a.retry_failed, **options)
+    for r in reports:
         print(f"{r['season']} {r['season_type']}: {r['games_new']} new, {r['games_processed']} processed, {r['games_failed']} failed")
+    failed = {g: e for r in reports for g, e in r["failed"].items()}
+    if failed:
+        print(f"{len(failed)} games are left out, among them:")
+        for game, error in sorted(failed.items())[:5]:
+            print(f"  {game}: {error}")
+        print("their errors are in the manifests; --retry-failed tries them again")
     return 0
 
 
@@ -112,7 +129,7 @@ def cmd_rapm(a, spark) -> int:
     if a.tuned:
         found = read_tuned(a.data_dir)
         model |= {k: found[k] for k in model if k in found} | {"lam": found["lambda"], "prior_kind": found["prior"]}
-    for path in run_rapm(spark, a.data_dir, a.seasons, a.season_types, a.pool, a.combine_types, min_poss=a.min_poss, fetch_names=not a.no_names, out_dir=a.out_dir, **model):
+    for path in run_rapm(spark, a.data_dir, a.seasons, a.season_types, a.pool, a.combine_types, min_poss=a.min_poss, fetch_names=not a.no_names, out_dir=a.out_dir, fetch=web.names if (web := league(a)) else None, **model):
         print(path)
     return 0
 
@@ -141,7 +158,8 @@ def cmd_features(a, spark) -> int:
 
     for season in a.seasons:
         for season_type in a.season_types:
-            print(build_season_features(spark, a.data_dir, season, season_type, not a.no_tracking))
+            web = league(a)
+            print(build_season_features(spark, a.data_dir, season, season_type, not a.no_tracking, fetch=web.features(season, season_type) if web else None))
     return 0
 
 

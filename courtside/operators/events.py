@@ -1,44 +1,93 @@
-"""Raw play-by-play events to possession statistics, for the event kinds whose rules are pinned down.
-
-Handled: period start (12) and end (13), jump ball (10), made shot (1), substitution (8). A game with any other kind is
-reported as unsupported and left out. Possession: a jump ball gives the ball to player 3's team; a made shot scores two
-points (three if the description says 3PT) and ends the possession; a ball that is still held at the end of a period is
-one more possession without points. Period starters of a team are those who act or leave before they enter, and, where
-fewer than five do, players of its other periods who are not seen to enter later. The logic needs the order of events,
-so it runs per game on at most a few hundred rows.
+"""Raw play-by-play events to possession statistics.
+
+A possession is held by one team and ends with a made shot (unless a bonus free throw follows at the same clock), the made
+last free throw of a trip, a defensive rebound, a turnover, a jump ball that the other team wins, or the end of the period.
+Free throws for technical fouls score without touching the possession, those for flagrant and clear-path fouls leave the ball
+with the shooters. It belongs to the lineups on court at its last attempt or turnover, and free throws, with the
+possession that they end, to the lineups at the foul, whoever comes in before they are shot. Points of the team that
+doesn't hold the ball are its own for the same matchup.
+
+Period starters of a team are those who act on court or leave before they enter, and, where fewer than five do, players of its
+other periods who are not seen to enter later. A period that ends up with another number than five fails its game further on.
+The logic needs the order of events, so it runs per game on at most a few hundred rows.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass, field
+
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.schema import LINEUP_SIZE, STAT_ROWS
 from courtside.sources.payloads import result_rows
 
-# Event kinds.
-MADE, SUBSTITUTION, JUMP_BALL, START, END = 1, 8, 10, 12, 13
-HANDLED = (MADE, SUBSTITUTION, JUMP_BALL, START, END)
-HEADERS = {"GAME_ID": "string", "EVENTNUM": "long", "EVENTMSGTYPE": "int", "PERIOD": "int", "PCTIMESTRING": "string", "HOMEDESCRIPTION": "string", "VISITORDESCRIPTION": "string"} | {f"PLAYER{n}_{x}": "long" for n in (1, 2, 3) for x in ("ID", "TEAM_ID")}
+# Event kinds, kinds without effect (violation, timeout, ejection, replay, stoppage), the types of persons that
+# are players, foul types that may be called on the bench (technicals and the like), and the smallest team id.
+MADE, MISSED, FREE_THROW, REBOUND, TURNOVER, FOUL, SUBSTITUTION, JUMP_BALL, START, END = 1, 2, 3, 4, 5, 6, 8, 10, 12, 13
+NEUTRAL = (7, 9, 11, 18, 20)
+HANDLED = (MADE, MISSED, FREE_THROW, REBOUND, TURNOVER, FOUL, SUBSTITUTION, JUMP_BALL, START, END, *NEUTRAL)
+PLAYER_KINDS = (4, 5)
+BENCH_FOULS = (11, 12, 13, 16, 17, 18, 19, 25, 30)
+TEAM_IDS = 1_600_000_000
+HEADERS = {"GAME_ID": "string", "EVENTNUM": "long", "EVENTMSGTYPE": "int", "EVENTMSGACTIONTYPE": "int", "PERIOD": "int", "PCTIMESTRING": "string"}
+HEADERS |= {"HOMEDESCRIPTION": "string", "NEUTRALDESCRIPTION": "string", "VISITORDESCRIPTION": "string", "SCORE": "string"}
+HEADERS |= {f"PLAYER{n}_{x}": "long" for n in (1, 2, 3) for x in ("ID", "TEAM_ID")} | {f"PERSON{n}TYPE": "int" for n in (1, 2, 3)}
+_TRIP = re.compile(r"(\d) of (\d)")
 
 
 def read_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return result_rows(spark, paths, HEADERS)
 
 
+def event_points() -> Column:
+    """The points that an event scores."""
+    text = F.concat_ws(" ", "HOMEDESCRIPTION", "NEUTRALDESCRIPTION", "VISITORDESCRIPTION")
+    shot = F.when(text.contains("3PT"), 3).otherwise(2)
+    return F.when(F.col("EVENTMSGTYPE") == MADE, shot).when((F.col("EVENTMSGTYPE") == FREE_THROW) & ~text.contains("MISS"), 1).otherwise(0)
+
+
+def final_scores(events: DataFrame) -> DataFrame:
+    """(game_id, event_order, score): the running scores of the feed, or of a game without any the sum of its shots."""
+    parts = F.split(F.regexp_replace("SCORE", " ", ""), "-")
+    shown = F.when(F.col("SCORE").rlike(r"^\s*\d+\s*-\s*\d+\s*$"), F.create_map(F.lit("away"), F.get(parts, 0).cast("long"), F.lit("home"), F.get(parts, 1).cast("long")))
+    rows = events.select(F.col("GAME_ID").alias("game_id"), F.col("EVENTNUM").alias("event_order"), shown.alias("score"), event_points().cast("long").alias("points"))
+    last = rows.groupBy("game_id").agg(F.max_by("score", F.when(F.col("score").isNotNull(), F.col("event_order"))).alias("score"), F.max("event_order").alias("event_order"), F.sum("points").alias("points"))
+    return last.select("game_id", "event_order", F.coalesce("score", F.create_map(F.lit("both"), F.col("points"))).alias("score"))
+
+
+def _people(e) -> list[tuple[int, int]]:
+    """(team, player) of the players that an event names."""
+    out = []
+    for n in (1, 2, 3):
+        player, team, kind = (getattr(e, f"PLAYER{n}_ID"), getattr(e, f"PLAYER{n}_TEAM_ID"), getattr(e, f"PERSON{n}TYPE", None))
+        if pd.notna(player) and pd.notna(team) and 0 < player < TEAM_IDS and (pd.isna(kind) or kind in PLAYER_KINDS):
+            out.append((int(team), int(player)))
+    return out
+
+
+def _team(e) -> int | None:
+    """The team of an event: that of its first player, or the team it names in a player's place."""
+    if pd.notna(e.PLAYER1_TEAM_ID):
+        return int(e.PLAYER1_TEAM_ID)
+    return int(e.PLAYER1_ID) if pd.notna(e.PLAYER1_ID) and e.PLAYER1_ID >= TEAM_IDS else None
+
+
+def _text(e) -> str:
+    return " ".join(str(x) for x in (e.HOMEDESCRIPTION, getattr(e, "NEUTRALDESCRIPTION", None), e.VISITORDESCRIPTION) if pd.notna(x) and x)
+
+
 def _starters(events: pd.DataFrame, others: dict[int, list[int]]) -> dict[int, list[int]]:
     """The five of each team at the start of a period."""
     first: dict[int, dict[int, str]] = {}
     for e in events.itertuples():
-        acts = []
-        if e.EVENTMSGTYPE == SUBSTITUTION:
-            acts = [(e.PLAYER1_TEAM_ID, e.PLAYER1_ID, "on"), (e.PLAYER1_TEAM_ID, e.PLAYER2_ID, "enters")]
-        elif e.EVENTMSGTYPE in (MADE, JUMP_BALL):
-            acts = [(getattr(e, f"PLAYER{n}_TEAM_ID"), getattr(e, f"PLAYER{n}_ID"), "on") for n in (1, 2, 3)]
-        for team, player, what in acts:
-            if pd.notna(team) and pd.notna(player) and int(player):
-                first.setdefault(int(team), {}).setdefault(int(player), what)
+        kind = e.EVENTMSGTYPE
+        if kind in (*NEUTRAL, START, END) or (kind == FOUL and e.EVENTMSGACTIONTYPE in BENCH_FOULS):
+            continue
+        for k, (team, player) in enumerate(_people(e)):
+            first.setdefault(team, {}).setdefault(player, "enters" if kind == SUBSTITUTION and k == 1 else "on")
     out = {}
     for team in {*first, *others}:
         seen = first.get(team, {})
@@ -48,61 +97,157 @@ def _starters(events: pd.DataFrame, others: dict[int, list[int]]) -> dict[int, l
     return out
 
 
-def game_statistics(game: pd.DataFrame) -> pd.DataFrame:
+@dataclass
+class Game:
+    """The state of a game while its events are read, and the statistics rows so far."""
+
+    game_id: str
+    rows: list[tuple] = field(default_factory=list)
+    score: dict[int, int] = field(default_factory=dict)
+    court: dict[int, list[int]] = field(default_factory=dict)
+    at: int = 0
+    period: int = 0
+    clock: str = ""
+    holder: int | None = None
+    #: The lineups that the possession belongs to, once it has had an attempt, and those at the last foul.
+    attempt: dict[int, list[int]] | None = None
+    fouled: dict[int, list[int]] | None = None
+    #: Score of both teams when the possession began.
+    began: dict[int, int] = field(default_factory=dict)
+
+    def other(self, team: int) -> int:
+        return next(t for t in sorted(self.court) if t != team)
+
+    def snapshot(self) -> dict[int, list[int]]:
+        return {t: sorted(five) for t, five in self.court.items()}
+
+    def _row(self, team: int, court: dict[int, list[int]], key: str, value: int) -> None:
+        """A row for each player of the credited team."""
+        opponent = self.other(team)
+        lead = self.began.get(team, 0) - self.began.get(opponent, 0)
+        own, opp = ("-".join(map(str, court[t])) for t in (team, opponent))
+        self.rows += [(self.game_id, self.at, self.period, self.clock, lead, p, team, opponent, own, opp, key, value) for p in court[team]]
+
+    def points(self, team: int, n: int, court: dict[int, list[int]]) -> None:
+        self._row(self.other(team), court, "OpponentPoints", n)
+        self.score[team] = self.score.get(team, 0) + n
+
+    def has(self, team: int) -> None:
+        """The team acts with the ball: a possession of the other one that no event ended is over."""
+        if self.holder is not None and self.holder != team:
+            self.end(self.clock)
+        self.holder = team
+
+    def end(self, clock: str, to: int | None = None) -> None:
+        """The possession ends, and the ball goes to the other team or to the one named."""
+        holder = self.holder
+        if holder is not None:
+            self._row(holder, self.attempt or self.snapshot(), "OffPoss", 1)
+        self.at += 1
+        self.clock, self.began, self.attempt = clock, dict(self.score), None
+        self.holder = to if to is not None else self.other(holder) if holder is not None else None
+
+
+def _bonus(later: list, shot) -> bool:
+    """Whether a free throw of one follows a made shot at the same clock."""
+    for e in later:
+        if e.PCTIMESTRING != shot.PCTIMESTRING or e.EVENTMSGTYPE in (MADE, MISSED, END):
+            return False
+        if e.EVENTMSGTYPE == FREE_THROW and _team(e) == _team(shot) and "1 of 1" in _text(e) and "Flagrant" not in _text(e):
+            return True
+    return False
+
+
+def _free_throw(game: Game, e, pending: list) -> None:
+    """pending[0] becomes the team whose missed last free throw is to be rebounded."""
+    team, text = _team(e), _text(e)
+    made, court = "MISS" not in text, game.fouled or game.snapshot()
+    if "Technical" in text:
+        if made:
+            game.points(team, 1, game.snapshot())
+        return
+    trip = _TRIP.search(text)
+    last = trip is None or trip[1] == trip[2]
+    game.has(team)
+    game.attempt = court
+    if made:
+        game.points(team, 1, court)
+    if last and "Flagrant" not in text and "Clear Path" not in text:
+        if made:
+            game.end(e.PCTIMESTRING)
+        else:
+            pending[:] = [team]
+    elif not made:
+        pending[:] = [None]  # the rebound that the feed shows next is none
+
+
+def game_statistics(table: pd.DataFrame) -> pd.DataFrame:
     """The statistics rows (STAT_ROWS) of one game."""
-    game = game.sort_values("EVENTNUM", kind="stable")
-    rows: list[tuple] = []
-    game_id, at = game["GAME_ID"].iat[0], 0
+    table = table.sort_values("EVENTNUM", kind="stable")
+    game = Game(table["GAME_ID"].iat[0])
+    known = _starters(table, {})  # who is seen on court first in the game
     last: dict[int, list[int]] = {}
-    periods = {p: g for p, g in game.groupby("PERIOD")}
-    known = _starters(game, {})  # who is seen on court first in the game
-    margin: dict[int, int] = {}
-    for period, events in sorted(periods.items()):
-        court = _starters(events, last or known)
-        teams = sorted(court)
-        holder: int | None = None
-        clock = events["PCTIMESTRING"].iat[0]
-
-        def close(points: int, holder: int, court=court, teams=teams, period=period) -> None:
-            nonlocal at
-            other = next(t for t in teams if t != holder)
-            own, opp = ("-".join(map(str, sorted(court[t]))) for t in (holder, other))
-            lead = margin.get(holder, 0) - margin.get(other, 0)
-            for p in court[holder]:
-                rows.append((game_id, at, period, clock, lead, p, holder, other, own, opp, "OffPoss", 1))
-            if points:
-                for p in court[other]:
-                    rows.append((game_id, at, period, clock, lead, p, other, holder, opp, own, "OpponentPoints", points))
-            margin[holder] = margin.get(holder, 0) + points
-            at += 1
-
-        for e in events.itertuples():
-            if e.EVENTMSGTYPE == JUMP_BALL:
-                holder = int(e.PLAYER3_TEAM_ID)
-            elif e.EVENTMSGTYPE == SUBSTITUTION:
-                five = court[int(e.PLAYER1_TEAM_ID)]
-                court[int(e.PLAYER1_TEAM_ID)] = [int(e.PLAYER2_ID) if p == int(e.PLAYER1_ID) else p for p in five]
-            elif e.EVENTMSGTYPE == MADE:
-                scorer = int(e.PLAYER1_TEAM_ID)
-                text = f"{e.HOMEDESCRIPTION or ''} {e.VISITORDESCRIPTION or ''}"
-                close(3 if "3PT" in text else 2, scorer)
-                holder, clock = next(t for t in teams if t != scorer), e.PCTIMESTRING
-            elif e.EVENTMSGTYPE == END and holder is not None:
-                close(0, holder)
-                holder = None
-        last = {t: list(f) for t, f in court.items()}
-    return pd.DataFrame(rows, columns=STAT_ROWS.fieldNames())
+    for period, events in table.groupby("PERIOD"):
+        game.court, game.period, game.clock = _starters(events, last or known), int(period), events["PCTIMESTRING"].iat[0]
+        game.holder = game.attempt = game.fouled = None
+        game.began = dict(game.score)
+        rows = list(events.itertuples())
+        pending: list = []
+        for k, e in enumerate(rows):
+            kind, team = e.EVENTMSGTYPE, _team(e)
+            if kind == JUMP_BALL:
+                winner = e.PLAYER3_TEAM_ID if pd.notna(e.PLAYER3_TEAM_ID) else e.PLAYER3_ID
+                if pd.notna(winner) and int(winner) in game.court:
+                    game.has(int(winner))
+            elif kind == SUBSTITUTION:
+                out, into = int(e.PLAYER1_ID), int(e.PLAYER2_ID)
+                game.court[team] = [into if p == out else p for p in game.court[team]]
+            elif kind == FOUL:
+                game.fouled = game.snapshot()
+            elif kind == MADE:
+                game.has(team)
+                game.attempt = game.snapshot()
+                game.points(team, 3 if "3PT" in _text(e) else 2, game.attempt)
+                if not _bonus(rows[k + 1 :], e):
+                    game.end(e.PCTIMESTRING)
+            elif kind == MISSED:
+                game.has(team)
+                game.attempt = game.snapshot()
+                pending[:] = [team]
+            elif kind == FREE_THROW:
+                _free_throw(game, e, pending)
+            elif kind == REBOUND and pending:
+                shooter = pending.pop()
+                if shooter is not None and team is not None and team != shooter:
+                    game.end(e.PCTIMESTRING, to=team)
+            elif kind == TURNOVER and team in game.court and e.EVENTMSGACTIONTYPE != 0:
+                game.has(team)
+                game.attempt = game.attempt or game.snapshot()
+                game.end(e.PCTIMESTRING)
+            elif kind == END and game.holder is not None:
+                game.end(e.PCTIMESTRING)
+                game.holder = None
+        last = {t: list(f) for t, f in game.court.items()}
+    return pd.DataFrame(game.rows, columns=STAT_ROWS.fieldNames())
+
+
+def statistics_or_error(table: pd.DataFrame) -> pd.DataFrame:
+    """game_statistics(), or where a game can't be read one row that makes it fail with the reason."""
+    try:
+        return game_statistics(table)
+    except Exception as error:
+        reason = f"unreadable: {type(error).__name__}: {error}"
+        return pd.DataFrame([(table["GAME_ID"].iat[0], 0, 1, "12:00", 0, 0, 0, 0, reason, reason, "OffPoss", 1)], columns=STAT_ROWS.fieldNames())
 
 
 def unsupported_games(events: DataFrame) -> DataFrame:
-    """(game_id, error) of games with event kinds that are not handled."""
+    """(game_id, error) of games with event kinds that are not known."""
     odd = events.where(F.col("EVENTMSGTYPE").isNull() | ~F.col("EVENTMSGTYPE").isin(*HANDLED))
     return odd.groupBy(F.col("GAME_ID").alias("game_id")).agg(F.concat(F.lit("ValueError: unsupported event types "), F.array_join(F.array_sort(F.collect_set(F.col("EVENTMSGTYPE").cast("string"))), ",")).alias("error"))
 
 
 def possession_statistics(events: DataFrame) -> DataFrame:
-    """STAT_ROWS of all games whose events are handled."""
+    """STAT_ROWS of all games whose events are known."""
     bad = unsupported_games(events).select(F.col("game_id").alias("_bad"))
     sound = events.join(bad, F.col("GAME_ID") == F.col("_bad"), "left_anti")
-    return sound.groupBy("GAME_ID").applyInPandas(game_statistics, STAT_ROWS)
-
+    return sound.groupBy("GAME_ID").applyInPandas(statistics_or_error, STAT_ROWS)

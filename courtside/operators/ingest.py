@@ -1,8 +1,9 @@
 """Incremental, resumable building of stint tables from play-by-play.
 
-A run takes the final games that the manifest has neither as processed nor as failed, parses all of them in one job, keeps
-bad games apart with their error and writes stints first and the manifest after. If a run ends in between, the stored rows
-of games that the manifest doesn't confirm are left out by the next one, so nothing is counted twice.
+A run takes the final games that the manifest has neither as processed nor as failed, in batches of ``FLUSH_EVERY``. A batch is
+parsed in one job, bad games are kept apart with their error, points are checked against the final scores, and its rows are
+appended before the manifest is written. If a run ends in between, the appended rows of games that the manifest doesn't confirm
+are taken out by the next one before it starts, so nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions.seasons import manifest_path, play_by_play_path, stints_path
-from courtside.operators.events import possession_statistics, read_events, unsupported_games
-from courtside.operators.possessions import game_totals, stints_and_failures
+from courtside.operators.events import final_scores, possession_statistics, read_events, unsupported_games
+from courtside.operators.possessions import game_totals, score_warnings, stints_and_failures
 from courtside.schema import STINT_COLUMNS
+from courtside.sources.payloads import cached_payload
 from courtside.sources.schedule import season_game_ids
-from courtside.sources.stints import manifest_frame, read_manifest, replace_stints, stored_stints, write_manifest
+from courtside.sources.stints import manifest_frame, read_manifest, settle, write_manifest
 
 logger = logging.getLogger(__name__)
 GameIds = Callable[..., list[str]]
+# Fixed value: games between two writes.
+FLUSH_EVERY = 25
 
 
 def todo(ids: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -30,24 +34,62 @@ def todo(ids: DataFrame, manifest: DataFrame) -> DataFrame:
     return ids.join(manifest.select("game_id"), "game_id", "left_anti")
 
 
-def parse_games(spark: SparkSession, data_dir: Path, games: list[str]) -> tuple[DataFrame, dict[str, str]]:
-    """(stints, {game_id: error}) of the games' cached play-by-play."""
-    paths = {g: play_by_play_path(data_dir, g) for g in games}
-    failed = {g: f"FileNotFoundError: {p}" for g, p in paths.items() if not p.exists()}
-    present = [str(p) for g, p in paths.items() if g not in failed]
-    if not present:
-        return spark.createDataFrame([], "game_id string").limit(0).selectExpr("game_id", "0L as off_team_id", "0L as def_team_id", "'' as off_lineup", "'' as def_lineup", "false as garbage", "0L as poss", "0L as points"), failed
-    events = read_events(spark, present).persist()
-    found = {r[0] for r in events.select("GAME_ID").distinct().collect()}
-    failed |= {g: "ValueError: no events" for g in games if g not in found and g not in failed}
-    failed |= {r["game_id"]: r["error"] for r in unsupported_games(events).collect()}
+def fetched(data_dir: Path, games: list[str], fetch: Callable[[str], dict] | None) -> dict[str, str]:
+    """Bring the play-by-play of the games into the cache; {game_id: error} of those that aren't to be had."""
+    failed = {}
+    for game in games:
+        try:
+            path = play_by_play_path(data_dir, game)
+            if not path.exists():
+                cached_payload(path, (lambda game=game: fetch(game)) if fetch else None)
+        except Exception as error:
+            failed[game] = f"{type(error).__name__}: {error}"
+    return failed
+
+
+def parse_games(spark: SparkSession, data_dir: Path, games: list[str]) -> tuple[DataFrame, list[dict]]:
+    """(stints, one report per game) of cached play-by-play: its totals and warnings, or its error. stints is persisted."""
+    events = read_events(spark, [str(play_by_play_path(data_dir, g)) for g in games]).persist()
     stints, bad = stints_and_failures(possession_statistics(events))
-    failed |= {r["game_id"]: r["error"] for r in bad.collect()}
-    return stints.select(*STINT_COLUMNS), failed
+    errors = unsupported_games(events).unionByName(bad).groupBy("game_id").agg(F.min("error").alias("error"))
+    sound = stints.select(*STINT_COLUMNS).join(errors.select("game_id"), "game_id", "left_anti").select(*STINT_COLUMNS).persist()
+    asked = spark.createDataFrame([(g,) for g in games], "game_id string")
+    totals = game_totals(sound).join(score_warnings(sound, final_scores(events)), "game_id", "left")
+    reports = [r.asDict() for r in asked.join(totals, "game_id", "left").join(errors, "game_id", "left").orderBy("game_id").collect()]
+    events.unpersist()
+    return sound, reports
+
+
+def take_in(spark: SparkSession, data_dir: Path, season: str, season_type: str, games: list[str], manifest: dict) -> None:
+    """Append the stints of a batch of games and enter all of them in the manifest."""
+    new, reports = parse_games(spark, data_dir, games)
+    for r in reports:
+        if r["rows"] is None:
+            manifest["failed"][r["game_id"]] = r["error"] or "ValueError: no possessions"
+            logger.warning("%s: failed (%s)", r["game_id"], manifest["failed"][r["game_id"]])
+            continue
+        manifest["processed"][r["game_id"]] = {k: r[k] for k in ("rows", "poss", "points")} | {"warnings": r["warnings"] or []}
+        for warning in r["warnings"] or []:
+            logger.warning("%s: %s", r["game_id"], warning)
+    if any(r["rows"] for r in reports):
+        new.write.mode("append").parquet(str(stints_path(data_dir, season, season_type)))
+    new.unpersist()
 
 
-def build_season(spark: SparkSession, data_dir: Path, season: str, season_type: str, game_limit: int | None = None, refresh_schedule: bool = False, retry_failed: bool = False, game_ids: GameIds = season_game_ids) -> dict:
-    """Bring a scope's stint table up to date; returns counts. game_ids is the source of final games."""
+def build_season(
+    spark: SparkSession,
+    data_dir: Path,
+    season: str,
+    season_type: str,
+    game_limit: int | None = None,
+    refresh_schedule: bool = False,
+    retry_failed: bool = False,
+    game_ids: GameIds = season_game_ids,
+    fetch: Callable[[str], dict] | None = None,
+    flush_every: int = FLUSH_EVERY,
+) -> dict:
+    """Bring a scope's stint table up to date; returns counts and the errors of failed games. game_ids is the source of final
+    games, fetch that of play-by-play which isn't cached."""
     path = manifest_path(data_dir, season, season_type)
     manifest = read_manifest(path)
     if retry_failed:
@@ -56,20 +98,18 @@ def build_season(spark: SparkSession, data_dir: Path, season: str, season_type:
     wanted = spark.createDataFrame([(g,) for g in ids], "game_id string")
     games = [r[0] for r in todo(wanted, manifest_frame(spark, manifest)).orderBy("game_id").collect()]
     if games:
-        new, failed = parse_games(spark, data_dir, games)
-        new = new.where(~F.col("game_id").isin(list(failed))) if failed else new
-        new = new.persist()
-        totals = game_totals(new).collect()
-        if totals:
-            # what is read may be what is replaced, so the union is written beside it
-            replace_stints(stored_stints(spark, data_dir, season, season_type).unionByName(new, allowMissingColumns=True), stints_path(data_dir, season, season_type))
-        manifest["processed"] |= {r["game_id"]: {"rows": r["rows"], "poss": r["poss"], "points": r["points"], "warnings": []} for r in totals}
-        manifest["failed"] |= failed
-        new.unpersist()
+        settle(spark, data_dir, season, season_type)
+    for at in range(0, len(games), flush_every):
+        batch = games[at : at + flush_every]
+        missing = fetched(data_dir, batch, fetch)
+        manifest["failed"] |= missing
+        if present := [g for g in batch if g not in missing]:
+            take_in(spark, data_dir, season, season_type, present, manifest)
+        write_manifest(path, manifest)
     write_manifest(path, manifest)
     out = {"season": season, "season_type": season_type, "games_new": len(games), "games_processed": len(manifest["processed"]), "games_failed": len(manifest["failed"])}
     logger.info("%s", out)
-    return out
+    return out | {"failed": dict(manifest["failed"])}
 
 
 def build_many(spark: SparkSession, data_dir: Path, seasons: list[str], season_types: list[str], **options) -> list[dict]:

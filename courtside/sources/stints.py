@@ -71,6 +71,18 @@ def stored_stints(spark: SparkSession, data_dir: Path, season: str, season_type:
     return processed_only(spark.read.parquet(str(path)), manifest_frame(spark, manifest))
 
 
+def settle(spark: SparkSession, data_dir: Path, season: str, season_type: str) -> None:
+    """Leave a scope's table as a folder of confirmed rows, to which a run may append; it is rewritten only if it isn't one."""
+    path = stints_path(data_dir, season, season_type)
+    if not path.exists():
+        return
+    manifest = read_manifest(manifest_path(data_dir, season, season_type))
+    stray = spark.read.parquet(str(path)).join(manifest_frame(spark, manifest).where("status = 'processed'").select("game_id"), "game_id", "left_anti")
+    if path.is_file() or stray.limit(1).count():
+        # what is read is what is replaced, so the rows are written beside it
+        replace_stints(stored_stints(spark, data_dir, season, season_type), path)
+
+
 def replace_stints(stints: DataFrame, path: Path) -> None:
     """Write a scope's table anew beside the old one and swap them; the old one may be among what is read."""
     import shutil

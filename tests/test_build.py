@@ -13,12 +13,12 @@ from courtside import cli
 from courtside.functions import seasons as S
 from courtside.functions.columns import garbage_time
 from courtside.operators import features, ingest, priors, tune, validate
-from courtside.operators.events import game_statistics, possession_statistics, read_events
+from courtside.operators.events import final_scores, game_statistics, possession_statistics, read_events, statistics_or_error
 from courtside.operators.possessions import score_warnings, stints_and_failures, stints_strict
 from courtside.operators.rapm import fit_rapm
 from courtside.schema import STAT_ROWS
 from courtside.smoke import check_games
-from courtside.sources import names, results, schedule, stints as store
+from courtside.sources import names, results, schedule, stints as store, web
 from courtside.sources.throttle import Throttled
 from courtside.streaming.ingest import SCOPED, ingest_stream
 from courtside.synthetic import make_league, simulate_stints, write_scope
@@ -124,12 +124,104 @@ def test_play_by_play(spark, tmp_path):
     assert len(game_statistics(events.toPandas())) == 44 * 5 + 40 * 5
 
 
+def every_kind(game_id="k1", score="3 - 8"):
+    """One period with misses, rebounds, free throws, fouls, turnovers, a technical, a flagrant foul and a lost jump ball."""
+    rows = []
+
+    def event(kind, clock, *people, text="x", action=None, **more):
+        r = dict.fromkeys(HEADERS) | {"GAME_ID": game_id, "EVENTNUM": len(rows) + 1, "EVENTMSGTYPE": kind, "EVENTMSGACTIONTYPE": action, "PERIOD": 1, "PCTIMESTRING": clock, "HOMEDESCRIPTION": text}
+        for n, player in enumerate(people, 1):
+            team = player >= 1_600_000_000
+            r |= {f"PLAYER{n}_ID": player, f"PLAYER{n}_TEAM_ID": None if team else HOME if player < 200 else AWAY, f"PERSON{n}TYPE": 2 if team else 4}
+        rows.append([(r | more)[h] for h in HEADERS])
+
+    event(12, "12:00")
+    event(10, "11:58", 105, 205, 201)
+    event(2, "11:40", 202, text="MISS 2PT")
+    event(4, "11:39", 203)
+    event(2, "11:35", 203, text="MISS 3PT")
+    event(4, "11:33", 101)  # away 1: none
+    event(1, "11:20", 102, text="3PT shot")
+    event(6, "11:20", 204, 102, action=2)
+    event(3, "11:20", 102, text="Free Throw 1 of 1")  # home 1: four points
+    event(5, "11:05", 205, 103, action=1)  # away 2: none
+    event(6, "10:50", 201, 104, action=2)
+    event(8, "10:50", 105, 106)
+    event(3, "10:50", 104, text="MISS Free Throw 1 of 2")
+    event(4, "10:50", HOME)
+    event(3, "10:50", 104, text="Free Throw 2 of 2")  # home 2, with the five at the foul: one point
+    event(6, "10:40", 101, action=11)
+    event(3, "10:40", 202, text="Free Throw Technical")  # one point for away
+    event(2, "10:30", 201, text="MISS")
+    event(4, "10:28", AWAY)
+    event(5, "10:20", AWAY, action=11)  # away 3
+    event(6, "10:00", 203, 103, action=14)
+    event(3, "10:00", 103, text="Free Throw Flagrant 1 of 2")
+    event(3, "10:00", 103, text="MISS Free Throw Flagrant 2 of 2")
+    event(4, "10:00", HOME)
+    event(1, "9:50", 103, text="shot")  # home 3: three points
+    event(1, "9:30", 204, text="shot", SCORE=score)  # away 4: two points
+    event(9, "9:20", HOME)
+    event(7, "9:20", HOME)
+    event(10, "9:10", 104, 204, 203)  # home 4: none
+    event(18, "9:00")
+    event(2, "0:05", 205, text="MISS")
+    event(13, "0:00")  # away 5
+    return {"resultSets": [{"name": "PlayByPlay", "headers": HEADERS, "rowSet": rows}]}
+
+
+def test_every_kind_of_event(spark, tmp_path):
+    write_game(tmp_path, "k1", every_kind())
+    broken = every_kind("k2")
+    broken["resultSets"][0]["rowSet"] = broken["resultSets"][0]["rowSet"][:1]
+    write_game(tmp_path, "k2", broken)
+    events = read_events(spark, [str(S.play_by_play_path(tmp_path, g)) for g in ("k1", "k2")])
+    good, bad = stints_and_failures(possession_statistics(events))
+    away, h5, h6 = "201-202-203-204-205", "101-102-103-104-105", "101-102-103-104-106"
+    assert {k[:2]: v for k, v in matchups(good).items()} == {(away, h5): (2, 0), (away, h6): (3, 3), (h5, away): (2, 5), (h6, away): (2, 3)}
+    assert bad.count() == 0
+    got = {r.game_id: r.score for r in final_scores(events).collect()}
+    assert got["k1"] == {"away": 3, "home": 8} and sum(got["k2"].values()) == 0
+    torn = events.where("GAME_ID = 'k1'").toPandas().assign(PLAYER1_TEAM_ID=AWAY, PLAYER2_TEAM_ID=AWAY, PLAYER3_TEAM_ID=AWAY)
+    assert statistics_or_error(torn)["lineup_id"].iat[0].startswith("unreadable")
+
+
+def test_build_keeps_warnings_and_batches(spark, tmp_path):
+    scope = ("2023-24", "Regular Season")
+    games = {"k1": every_kind("k1"), "k2": every_kind("k2", score="3 - 9"), "k3": every_kind("k3")}
+    asked = []
+    fetch = lambda g: asked.append(g) or games[g]
+    out = ingest.build_season(spark, tmp_path, *scope, game_ids=lambda *a: [*games, "k9"], fetch=fetch, flush_every=2)
+    assert asked == ["k1", "k2", "k3", "k9"] and (out["games_processed"], out["games_failed"]) == (3, 1) and out["failed"]["k9"].startswith("KeyError")
+    done = store.read_manifest(S.manifest_path(tmp_path, *scope))["processed"]
+    assert done["k1"] == {"rows": 4, "poss": 9, "points": 11, "warnings": []} and len(done["k2"]["warnings"]) == 1
+    assert validate.validate_season(spark, tmp_path, *scope)["build_warnings"] == 1
+    assert store.stored_stints(spark, tmp_path, *scope).count() == 12
+
+
+def test_fetchers_ask_the_api():
+    asked = []
+
+    def call(url, params):
+        asked.append((url.rsplit("/", 1)[1], params))
+        return web.Response(200, b'{"resultSets": []}')
+
+    league = web.League(call, sleep=lambda s: None)
+    assert league.schedule("2023-24", "Playoffs") == league.play_by_play("001") == league.names("2023-24") == {"resultSets": []}
+    pick = league.features("2023-24", "Playoffs")
+    pick("dash_base_2023_24_playoffs"), pick("pt_speeddistance_2023_24_playoffs")
+    assert [a for a, _ in asked] == ["leaguegamelog", "playbyplayv2", "commonallplayers", "leaguedashplayerstats", "leaguedashptstats"]
+    assert asked[3][1]["PerMode"] == "Per100Possessions" and asked[4][1]["PtMeasureType"] == "SpeedDistance"
+    with pytest.raises(OSError):
+        web.League(lambda url, params: web.Response(404, b"")).names(None)
+
+
 def test_build_resume_and_retry(spark, tmp_path):
     scope = ("2023-24", "Regular Season")
     ids = lambda *a: ["g1", "g2", "g3", "g4"]
     write_game(tmp_path, "g1", play_by_play("g1"))
     write_game(tmp_path, "g2", {})
-    write_game(tmp_path, "g3", play_by_play("g3", odd=5))
+    write_game(tmp_path, "g3", play_by_play("g3", odd=99))
     out = ingest.build_season(spark, tmp_path, *scope, game_ids=ids, game_limit=3)
     assert out["games_processed"] == 1 and out["games_failed"] == 2
     manifest = store.read_manifest(S.manifest_path(tmp_path, *scope))

@@ -29,16 +29,28 @@ def holdout_split(stints: DataFrame, test_frac: float = 0.2, seed: int = 0) -> t
     return stints.join(picked, "game_id", "left_anti"), stints.join(picked, "game_id", "left_semi")
 
 
+#: Entries of each of the maps that coefficients are dealt over, about; a map lookup walks over its entries.
+ENTRIES = 4
+
+
 def side_sum(lineup: str, coefficients: str):
-    """The sum of a map's values over a lineup; players it doesn't have count 0."""
-    return F.aggregate(player_ids(F.col(lineup)), F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(F.col(coefficients), p), F.lit(0.0)))
+    """The sum over a lineup of what an array of maps has, dealt by player; players it doesn't have count 0."""
+    own = lambda p: F.get(F.col(coefficients), F.pmod(p, F.size(coefficients)).cast("int"))
+    return F.aggregate(player_ids(F.col(lineup)), F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(own(p), p), F.lit(0.0)))
 
 
 def coefficient_row(spark, result: Ratings) -> DataFrame:
-    """One row of two maps, player to offence and to defence."""
+    """One row: the offence and the defence of players, each as an array of small maps."""
     p = result.players
-    rows = [({int(i): float(v) for i, v in zip(p["player_id"], p["orapm"], strict=True)}, {int(i): float(v) for i, v in zip(p["player_id"], p["drapm"], strict=True)})]
-    return spark.createDataFrame(rows, "_o map<bigint,double>, _d map<bigint,double>")
+    size = max(1, len(p) // ENTRIES)
+
+    def dealt(column: str) -> list[dict[int, float]]:
+        out: list[dict[int, float]] = [{} for _ in range(size)]
+        for i, v in zip(p["player_id"].tolist(), p[column].tolist(), strict=True):
+            out[i % size][int(i)] = float(v)
+        return out
+
+    return spark.createDataFrame([(dealt("orapm"), dealt("drapm"))], "_o array<map<bigint,double>>, _d array<map<bigint,double>>")
 
 
 def predict_stints(result: Ratings, stints: DataFrame) -> DataFrame:

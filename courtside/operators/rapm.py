@@ -6,7 +6,7 @@ cross-validation, solve, adding the prior back, flipping defence so that positiv
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from courtside.functions.seasons import end_year
 from courtside.operators import ridge
-from courtside.operators.cube import Cube, Stats
+from courtside.operators.cube import Cube, Stats, TooLarge
+from courtside.operators.iterative import fit_iterative
 from courtside.operators.weights import Knobs
 from courtside.schema import PLAYERS
 
@@ -104,7 +105,13 @@ def cross_validate_lambda(stints: DataFrame, lambdas=ridge.LAMBDA_GRID, n_folds:
 def fit_rapm(stints: DataFrame, lam: float | str = "cv", lambdas=ridge.LAMBDA_GRID, n_folds: int = 5, prior: Prior | None = None, decay: float = 1.0, playoff_weight: float = 1.0, garbage_weight: float = 1.0, data: Data | None = None, keep=lambda key: True) -> Ratings:
     """Ratings of the players in stints; lam is a penalty or 'cv'. data and keep fit on some strata of a ready cube."""
     knobs = Knobs(decay, playoff_weight, garbage_weight)
-    data = data or Data(stints)
+    if data is None:
+        try:
+            data = Data(stints)
+        except TooLarge:
+            if lam == "cv":
+                raise
+            return fit_large(stints, float(lam), prior, knobs)
     use = data.use(knobs, keep)
     st = data.cube.stats(use)
     raw = data.cube.stats(lambda k: 1.0 if use(k) > 0 else 0.0, st.players)
@@ -113,13 +120,12 @@ def fit_rapm(stints: DataFrame, lam: float | str = "cv", lambdas=ridge.LAMBDA_GR
     if lam == "cv":
         lam, table = cross_validate_lambda(stints, lambdas, n_folds, prior, knobs)
     beta, intercept = ridge.solve(st, float(lam), p)
-    games = kept_rows(stints, knobs).where("poss > 0").agg(F.count_distinct("game_id")).first()[0] if stints is not None else None
     meta = {
         "lambda": float(lam),
         "cv": table,
         "n_stint_rows": int(st.rows),
         "n_players": int(st.size),
-        "n_games": games,
+        "n_games": data.cube.games(use),
         "total_possessions": float(st.s),
         "raw_possessions": float(raw.s),
         "avg_points_per_100": float(st.t / st.s),
@@ -133,5 +139,15 @@ def fit_rapm(stints: DataFrame, lam: float | str = "cv", lambdas=ridge.LAMBDA_GR
     return Ratings(rated(st, raw.u, beta), meta)
 
 
+def fit_large(stints: DataFrame, lam: float, prior: Prior | None, knobs: Knobs) -> Ratings:
+    """Ratings by conjugate gradients, for more players than a dense system is made for."""
+    table, intercept = fit_iterative(stints, lam, prior, knobs)
+    side = lambda k, c: F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0))
+    wide = table.groupBy("player_id").agg(side(0, "coefficient").alias("orapm"), (-side(1, "coefficient")).alias("drapm"), side(0, "poss").alias("off_poss"), side(1, "poss").alias("def_poss")).toPandas()
+    wide["rapm"] = wide["orapm"] + wide["drapm"]
+    players = wide[PLAYERS.fieldNames()].sort_values(["rapm", "player_id"], ascending=[False, True], ignore_index=True)
+    return Ratings(players, {"lambda": lam, "cv": None, "n_players": len(players), "intercept": intercept, "prior": "custom" if prior else None, **asdict(knobs)})
+
+
 def as_prior(ratings: Ratings, scale: float = 1.0) -> Prior:
     return {int(i): (scale * float(o), scale * float(d)) for i, o, d in zip(ratings.players["player_id"], ratings.players["orapm"], ratings.players["drapm"], strict=True)}

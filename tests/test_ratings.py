@@ -68,6 +68,23 @@ def test_iterative_equals_direct(small):
         assert abs(got.get((r.player_id, 0), 0) - r.orapm) < 1e-4 and abs(got.get((r.player_id, 1), 0) + r.drapm) < 1e-4
 
 
+def test_large_player_sets_take_the_iterative_way(small, scoped, monkeypatch):
+    from courtside.operators import cube, rapm
+
+    prior = {p: (0.02 * p, -0.01 * p) for p in range(1, 40)}
+    options = {"lam": 500.0, "prior": prior, "decay": 0.9, "playoff_weight": 1.5, "garbage_weight": 0.5}
+    want = fit_rapm(scoped, **options).players.set_index("player_id").sort_index()
+    monkeypatch.setattr(rapm, "Cube", lambda *a: cube.Cube(*a, max_players=5))
+    got = fit_rapm(scoped, **options)
+    table = got.players.set_index("player_id").sort_index()
+    assert np.allclose(table[["orapm", "drapm", "rapm"]], want[["orapm", "drapm", "rapm"]], atol=1e-4) and (table.off_poss == want.off_poss).all()
+    assert got.meta["decay"] == 0.9 and (got.players.rapm.diff().dropna() <= 0).all()
+    with pytest.raises(cube.TooLarge):
+        fit_rapm(scoped)
+    with pytest.raises(cube.TooLarge):
+        cube.Cube(small, max_cells=10)
+
+
 def test_orphans_zero_prior_and_universe(spark, small):
     orphan = spark.createDataFrame([("G00000", 1, 2, "901-902-903-904-905", "1-2-3-4-5", 0, 1)], small.schema)
     got = fit_rapm(small.unionByName(orphan), lam=1000.0)

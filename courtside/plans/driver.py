@@ -66,12 +66,6 @@ def features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     return base, advanced, tracking
 
 
-def features_of_sql(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows of features() that FEATURES_SQL reads, for the queries that are compared with it."""
-    base, advanced, tracking = features(spark, sf_dir)
-    return base.where("PLAYER_ID <= 200"), advanced.where("PLAYER_ID between 50 and 260"), tracking.where("PLAYER_ID <= 90")
-
-
 STINTS_SQL = """
 plays AS (
   SELECT concat(year(o_orderdate) + 14, '-', right(CAST(year(o_orderdate) + 15 AS VARCHAR), 2)) AS season,
@@ -96,12 +90,12 @@ plays AS (
 FEATURES_SQL = """
 base AS (
   SELECT c_custkey AS player_id, CAST((c_custkey % 36 + 4) * (c_custkey % 82 + 1) AS DOUBLE) AS minutes,
-         round(abs(c_acctbal) / 100, 2) AS box_PTS, CAST(c_nationkey AS DOUBLE) AS box_AST FROM customer WHERE c_custkey <= 200
+         round(abs(c_acctbal) / 100, 2) AS box_PTS, CAST(c_nationkey AS DOUBLE) AS box_AST FROM customer
 ), advanced AS (
-  SELECT p_partkey AS player_id, round(p_retailprice / 10, 2) AS adv_NET_RATING, p_size AS adv_PACE FROM part WHERE p_partkey BETWEEN 50 AND 260
+  SELECT p_partkey AS player_id, round(p_retailprice / 10, 2) AS adv_NET_RATING, p_size AS adv_PACE FROM part
 ), tracking AS (
   SELECT s_suppkey AS player_id, round(abs(s_acctbal), 2) / greatest(CAST(s_suppkey % 30 * 10 AS DOUBLE), 1.0) * 36.0 AS pt_drives_DRIVES,
-         round(abs(s_acctbal) / 10000, 4) AS pt_drives_DRIVE_FG_PCT FROM supplier WHERE s_suppkey <= 90
+         round(abs(s_acctbal) / 10000, 4) AS pt_drives_DRIVE_FG_PCT FROM supplier
 ), wide AS (
   SELECT player_id, minutes, box_PTS, box_AST, adv_NET_RATING, adv_PACE, pt_drives_DRIVES, pt_drives_DRIVE_FG_PCT
   FROM base FULL JOIN advanced USING (player_id) FULL JOIN tracking USING (player_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contextlib import closing
+from contextlib import closing, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,10 +11,11 @@ from courtside.functions.columns import clock_seconds, dashes, garbage_time, per
 from courtside.functions.seasons import end_year, end_year_col, season_name
 from courtside.operators import evaluate, features, ingest, interactions, possessions, priors, rapm, validate
 from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
-from courtside.operators.ridge import solve
+from courtside.operators.ridge import LAMBDA_GRID, solve
 from courtside.operators.tune import Search, descend
 from courtside.operators.weights import Knobs, with_multiplier
-from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, features_of_sql, statistics, stints, table
+from courtside.plans import solve_sql
+from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, statistics, stints, table
 from courtside.plans.driver import features as feature_frames
 from courtside.sources.names import with_names
 from courtside.sources.results import TUNED_KEYS
@@ -249,13 +250,13 @@ def score_checked(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {FEATURES_SQL} SELECT player_id, minutes, box_PTS, box_AST, adv_NET_RATING, adv_PACE, round(pt_drives_DRIVES, 6) AS pt_drives_DRIVES, pt_drives_DRIVE_FG_PCT FROM wide")
 def features_full_outer(spark: SparkSession, d: str) -> DataFrame:
-    base, advanced, tracking = features_of_sql(spark, d)
+    base, advanced, tracking = feature_frames(spark, d)
     return rounded(features.season_features(base, advanced, {"Drives": tracking}), "pt_drives_DRIVES")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT player_id, round(pt_drives_DRIVES, 6) AS pt_drives_DRIVES, pt_drives_DRIVE_FG_PCT FROM tracking")
 def per36(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(features.prefixed(features_of_sql(spark, d)[2], "pt_drives_", per_36=True), "pt_drives_DRIVES")
+    return rounded(features.prefixed(feature_frames(spark, d)[2], "pt_drives_", per_36=True), "pt_drives_DRIVES")
 
 
 def _wide(frames) -> DataFrame:
@@ -265,7 +266,7 @@ def _wide(frames) -> DataFrame:
 
 @query(f"WITH {FEATURES_SQL}, z AS (SELECT avg(box_PTS) AS m, CASE WHEN stddev_pop(box_PTS) = 0 THEN 1 ELSE stddev_pop(box_PTS) END AS s FROM wide) SELECT player_id, round(coalesce((box_PTS - m) / s, 0), 6) AS z FROM wide, z")
 def feature_standardize(spark: SparkSession, d: str) -> DataFrame:
-    wide = _wide(features_of_sql(spark, d))
+    wide = _wide(feature_frames(spark, d))
     row = wide.agg(F.avg("box_PTS").alias("m"), F.stddev_pop("box_PTS").alias("s")).first()
     return wide.select("player_id", F.round(F.get(priors.standardised(wide, ["box_PTS"], [row["m"]], [row["s"] or 1.0]), 0), 6).alias("z"))
 
@@ -273,12 +274,12 @@ def feature_standardize(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{WITH}, {FEATURES_SQL}, {_SIDES}, t AS (SELECT player_id, CAST(sum(poss) AS BIGINT) AS poss FROM players GROUP BY ALL) SELECT player_id, box_PTS, poss FROM wide JOIN t USING (player_id)")
 def spm_inner_join(spark: SparkSession, d: str) -> DataFrame:
     sums = column_sums(matchups(stints(spark, d), []), []).groupBy(F.expr("i div 2").alias("player_id")).agg(F.sum("w").alias("poss"))
-    return _wide(features_of_sql(spark, d)).join(sums, "player_id").select("player_id", "box_PTS", "poss")
+    return _wide(feature_frames(spark, d)).join(sums, "player_id").select("player_id", "box_PTS", "poss")
 
 
 @query(f"WITH {FEATURES_SQL}, twice AS (SELECT player_id, minutes, box_PTS FROM wide UNION ALL SELECT player_id, minutes / 2, box_AST FROM wide) SELECT player_id, round(sum(coalesce(box_PTS, 0) * greatest(coalesce(minutes, 1), 1)) / sum(greatest(coalesce(minutes, 1), 1)), 6) AS o, round(sum((1 - coalesce(box_PTS, 0)) * greatest(coalesce(minutes, 1), 1)) / sum(greatest(coalesce(minutes, 1), 1)), 6) AS d FROM twice GROUP BY player_id")
 def player_weighted_avg(spark: SparkSession, d: str) -> DataFrame:
-    wide = _wide(features_of_sql(spark, d))
+    wide = _wide(feature_frames(spark, d))
     twice = wide.select("player_id", "minutes", "box_PTS").unionByName(wide.select("player_id", (F.col("minutes") / 2).alias("minutes"), F.col("box_AST").alias("box_PTS")))
     model = priors.SpmModel(["box_PTS"], [0.0], [1.0], [1.0], [-1.0], 0.0, 1.0, 1.0, 1.0)
     return rounded(priors.predict_spm(model, twice), "o", "d")
@@ -389,16 +390,6 @@ def warned_games(spark: SparkSession, d: str) -> DataFrame:
     return w.agg(F.count_if(F.size("warnings") > 0).alias("games_with_warnings"), F.count("*").alias("games"))
 
 
-@query("SELECT i AS equation, 0.0::DOUBLE AS residual FROM range(0, 120) t(i)")
-def ridge_residual(spark: SparkSession, d: str) -> DataFrame:
-    """|(A + lambda I) beta - b| of the fitted solution, which must vanish for every column."""
-    st = Cube(stints(spark, d)).stats()
-    beta, _ = solve(st, 500.0)
-    a, b = st.G - st.u[:, None] * st.u / st.s, st.r - st.u * st.t / st.s
-    rest = abs(a @ beta + 500.0 * beta - b)
-    return spark.createDataFrame([(i, float(round(x, 4)) + 0.0) for i, x in enumerate(rest)], "equation long, residual double")
-
-
 _TWO = "two AS (SELECT poss AS w, 100.0 * points / poss AS y, CAST(list_contains(string_split(off_lineup, '-'), '1') AS INTEGER) AS a, CAST(list_contains(string_split(def_lineup, '-'), '2') AS INTEGER) AS b FROM stints WHERE poss > 0)"
 
 
@@ -418,63 +409,90 @@ def ridge_two_columns(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(round(float(beta[0]), 6), round(float(beta[1]), 6))], "offence_1 double, defence_2 double")
 
 
-# --- whole models: no SQL --------------------------------------------------------------------------------------------
+# --- whole models ----------------------------------------------------------------------------------------------------
 
 
-@query()
+@contextmanager
+def kept(df: DataFrame):
+    """df, stored while a fit reads it several times."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def rounded_ratings(df: DataFrame) -> DataFrame:
+    return rounded(df, "orapm", "drapm", "rapm")
+
+
+@query(solve_sql.fit())
 def rapm_fit(spark: SparkSession, d: str) -> DataFrame:
-    return rapm.fit_rapm(stints(spark, d), lam=500.0).to_spark(spark)
+    with kept(stints(spark, d)) as s:
+        return rounded_ratings(rapm.fit_rapm(s, lam=500.0).to_spark(spark))
 
 
-@query()
+@query(solve_sql.cross_validation(",".join(f"{x:.1f}" for x in LAMBDA_GRID)))
 def rapm_cv(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(t["lambda"], t["cv_mse"]) for t in rapm.cross_validate_lambda(stints(spark, d))[1]], "lambda double, cv_mse double")
+    with kept(stints(spark, d)) as s:
+        return spark.createDataFrame([(t["lambda"], round(t["cv_mse"], 6)) for t in rapm.cross_validate_lambda(s)[1]], "lambda double, cv_mse double")
 
 
-@query()
+@query(solve_sql.fit(f"({_DECAY} * {_PLAYOFF} * CASE WHEN garbage THEN 0.5 ELSE 1.0 END)"))
 def rapm_weighted(spark: SparkSession, d: str) -> DataFrame:
-    return rapm.fit_rapm(stints(spark, d), lam=500.0, decay=0.9, playoff_weight=1.5, garbage_weight=0.5).to_spark(spark)
+    with kept(stints(spark, d)) as s:
+        return rounded_ratings(rapm.fit_rapm(s, lam=500.0, decay=0.9, playoff_weight=1.5, garbage_weight=0.5).to_spark(spark))
 
 
-@query()
+@query(solve_sql.two_phase())
 def rapm_two_phase(spark: SparkSession, d: str) -> DataFrame:
-    data = rapm.Data(stints(spark, d))
-    prior = rapm.as_prior(rapm.fit_rapm(data.stints, lam=500.0, data=data))
-    return rapm.fit_rapm(data.stints, lam=500.0, prior=prior, data=data).to_spark(spark)
+    with kept(stints(spark, d)) as s:
+        data = rapm.Data(s)
+        prior = rapm.as_prior(rapm.fit_rapm(s, lam=500.0, data=data))
+        return rounded_ratings(rapm.fit_rapm(s, lam=500.0, prior=prior, data=data).to_spark(spark))
 
 
-@query()
+@query(solve_sql.last_season())
 def rapm_last_season(spark: SparkSession, d: str) -> DataFrame:
     """The ratings of every season that has a predecessor, shrunk towards the plain fit of that one."""
-    data = rapm.Data(stints(spark, d))
+    with kept(stints(spark, d)) as s:
+        data = rapm.Data(s)
     seasons = sorted({p.key["season"] for p in data.cube.parts}, key=end_year)
-    out = None
+    out = spark.createDataFrame([], rapm.PLAYERS).select(F.lit("").alias("season"), "*")
     for season in seasons:
         before = season_name(end_year(season) - 1)
         if before not in seasons:
             continue
         only = lambda name: lambda key: key["season"] == name
         prior = rapm.as_prior(rapm.fit_rapm(None, lam=500.0, data=data, keep=only(before)), 0.7)
-        fit = rapm.fit_rapm(None, lam=500.0, prior=prior, data=data, keep=only(season)).to_spark(spark).select(F.lit(season).alias("season"), "*")
-        out = fit if out is None else out.unionByName(fit)
-    return out if out is not None else spark.createDataFrame([], rapm.PLAYERS).select(F.lit("").alias("season"), "*")
+        fit = rapm.fit_rapm(None, lam=500.0, prior=prior, data=data, keep=only(season)).to_spark(spark)
+        out = out.unionByName(fit.select(F.lit(season).alias("season"), "*"))
+    return rounded_ratings(out)
 
 
 @query()
 def rapm_interactions(spark: SparkSession, d: str) -> DataFrame:
-    return interactions.fit_interaction_rapm(stints(spark, d), lam=500.0).to_spark(spark)
+    with kept(stints(spark, d)) as s:
+        return interactions.fit_interaction_rapm(s, lam=500.0).to_spark(spark)
 
 
 @query()
 def spm_fit(spark: SparkSession, d: str) -> DataFrame:
-    fit = rapm.fit_rapm(stints(spark, d), lam=500.0).to_spark(spark)
+    with kept(stints(spark, d)) as s:
+        fit = rapm.fit_rapm(s, lam=500.0).to_spark(spark)
     wide = _wide(feature_frames(spark, d))
     return priors.predict_spm(priors.fit_spm(wide, fit), wide)
 
 
-@query()
+@query(f"{WITH}, n AS (SELECT count(DISTINCT game_id) AS games, count(*) AS rows FROM stints) SELECT CAST(games AS BIGINT) AS games, CAST(greatest(1, floor(games * 0.2)) AS BIGINT) AS held, CAST(0 AS BIGINT) AS shared, CAST(rows AS BIGINT) AS rows FROM n")
 def holdout_split(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.holdout_split(stints(spark, d), 0.2, 0)[1].select("game_id").distinct()
+    """How many games there are and are held out, how many are in both parts, and the rows of both together."""
+    with kept(stints(spark, d)) as s:
+        train, test = evaluate.holdout_split(s, 0.2, 0)
+        side = lambda df, k: df.groupBy("game_id").agg(F.count("*").alias("n")).withColumn("held", F.lit(k))
+        games = side(train, 0).unionByName(side(test, 1)).groupBy("game_id").agg(F.sum("n").alias("n"), F.max("held").alias("held"), F.count("*").alias("parts"))
+        row = games.agg(F.count("*").alias("games"), F.sum("held").cast("long").alias("held"), F.count_if(F.col("parts") > 1).alias("shared"), F.sum("n").alias("rows")).collect()
+    return spark.createDataFrame(row, "games long, held long, shared long, rows long")
 
 
 @query()

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
 from contextlib import closing, contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtside.functions.columns import clock_seconds, dashes, garbage_time, per_100, player_ids
-from courtside.functions.seasons import end_year, end_year_col, season_name
-from courtside.operators import evaluate, features, ingest, interactions, possessions, priors, rapm, validate
+from courtside.functions.seasons import end_year, end_year_col, season_name, season_name_col
+from courtside.operators import evaluate, events, features, ingest, interactions, possessions, priors, rapm, validate
 from courtside.operators.cube import Cube, column_sums, matchups, pair_sums
 from courtside.operators.ridge import LAMBDA_GRID, solve
 from courtside.operators.tune import Search, descend
@@ -17,8 +19,11 @@ from courtside.operators.weights import Knobs, with_multiplier
 from courtside.plans import solve_sql
 from courtside.plans.driver import FEATURES_SQL, STINTS_SQL, statistics, stints, table
 from courtside.plans.driver import features as feature_frames
+from courtside.sources import schedule, stints as store
 from courtside.sources.names import with_names
+from courtside.sources.payloads import result_lines
 from courtside.sources.results import TUNED_KEYS
+from courtside.sources.scratch import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -285,11 +290,133 @@ def player_weighted_avg(spark: SparkSession, d: str) -> DataFrame:
     return rounded(priors.predict_spm(model, twice), "o", "d")
 
 
-@query(f"{WITH} SELECT season, season_type, CAST(count(*) AS BIGINT) AS rows FROM stints WHERE season IN ('2012-13', '2013-14') GROUP BY ALL")
+@query(f"{WITH} SELECT season, season_type, CAST(count(*) AS BIGINT) AS rows, CAST(sum(points) AS BIGINT) AS points FROM stints GROUP BY ALL")
 def union_scopes(spark: SparkSession, d: str) -> DataFrame:
-    s = stints(spark, d)
-    both = s.where("season = '2012-13'").unionByName(s.where("season = '2013-14'"), allowMissingColumns=True)
-    return both.groupBy("season", "season_type").agg(F.count("*").alias("rows"))
+    """All scopes, stored as partitions and loaded again."""
+    path = shared_folder(spark)
+    store.write_partitioned(stints(spark, d), path)
+    scopes = spark.read.parquet(path).select("season", "season_type").distinct().collect()
+    loaded = store.load_partitioned(spark, path, sorted({r["season"] for r in scopes}), sorted({r["season_type"] for r in scopes}))
+    return loaded.groupBy("season", "season_type").agg(F.count("*").alias("rows"), F.sum("points").alias("points"))
+
+
+@query(f"{WITH} SELECT game_id, off_team_id, def_team_id, off_lineup, def_lineup, garbage, CAST(sum(poss) AS BIGINT) AS poss, CAST(sum(points) AS BIGINT) AS points, season, season_type FROM stints GROUP BY ALL")
+def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Possession statistics as a stream of files, taken in batch by batch, and the table that results."""
+    from courtside.streaming.ingest import SCOPED, ingest_stream
+
+    path = shared_folder(spark)
+    end = F.substring("game_id", 2, 4).cast("int")
+    kind = F.when(F.substring("game_id", 7, 1) == "p", "Playoffs").otherwise("Regular Season")
+    stats = statistics(spark, d).withColumns({"season": season_name_col(end), "season_type": kind})
+    # whole games arrive in one file
+    stats.select(*SCOPED.fieldNames()).repartition("game_id").write.parquet(f"{path}/in")
+    ingest_stream(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", files_per_batch=4).awaitTermination()
+    return spark.read.parquet(f"{path}/out/stints").drop("batch").withColumn("season", F.col("season").cast("string"))
+
+
+@query(f"{WITH}, {_MANIFEST}, t AS (SELECT game_id, count(*) AS n, sum(poss) AS s, sum(points) AS p FROM stints GROUP BY game_id) SELECT game_id, status, CAST(CASE WHEN status = 'processed' THEN n END AS BIGINT) AS rows, CAST(CASE WHEN status = 'processed' THEN s END AS BIGINT) AS poss, CAST(CASE WHEN status = 'processed' THEN p END AS BIGINT) AS points FROM manifest JOIN t USING (game_id)")
+def manifest_stored(spark: SparkSession, d: str) -> DataFrame:
+    """A manifest, written, read and taken as a table."""
+    rows = _manifest(spark, d).collect()  # one row a game
+    done = {r["game_id"]: {"rows": r["rows"], "poss": r["poss"], "points": r["points"], "warnings": []} for r in rows if r["status"] == "processed"}
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "manifest.json"
+        store.write_manifest(path, {"processed": done, "failed": {r["game_id"]: "x" for r in rows if r["status"] == "failed"}})
+        return store.manifest_frame(spark, store.read_manifest(path)).select("game_id", "status", "rows", "poss", "points")
+
+
+def _game_log(spark: SparkSession, d: str) -> str:
+    """The folder of a schedule as the league's API gives it, with all games and scores."""
+    rows = _official(spark, d).select("game_id", "team_id", "pts")
+    cell = lambda c: F.col(c).cast("string")
+    row = F.array(cell("game_id"), cell("team_id"), F.when(F.col("team_id") % 7 == 0, F.lit(None)).otherwise(cell("pts")))
+    sets = F.array(F.struct(F.lit("LeagueGameLog").alias("name"), F.array(*map(F.lit, ("GAME_ID", "TEAM_ID", "PTS"))).alias("headers"), F.collect_list(row).alias("rowSet")))
+    path = shared_folder(spark)
+    # one envelope per game: an envelope is read whole
+    rows.groupBy("game_id").agg(F.to_json(F.struct(sets.alias("resultSets"))).alias("value")).repartition("game_id").select("value").write.text(path)
+    return path
+
+
+_LOG = "log AS (SELECT game_id, team_id, CASE WHEN team_id % 7 <> 0 THEN pts END AS pts FROM official)"
+
+
+@query(f"{WITH}, {_OFFICIAL}, {_LOG} SELECT game_id, team_id, CAST(pts AS BIGINT) AS pts FROM log")
+def schedule_points(spark: SparkSession, d: str) -> DataFrame:
+    """Official points, read from JSON envelopes."""
+    return schedule.points_of(result_lines(spark, _game_log(spark, d), schedule.COLUMNS))
+
+
+@query(f"{WITH}, {_OFFICIAL}, {_LOG} SELECT DISTINCT game_id FROM log WHERE pts IS NOT NULL")
+def schedule_games(spark: SparkSession, d: str) -> DataFrame:
+    return schedule.final_games(schedule.points_of(result_lines(spark, _game_log(spark, d), schedule.COLUMNS)))
+
+
+@query(f"{WITH}, m AS (SELECT game_id, off_lineup, def_lineup, garbage, sum(poss) AS poss FROM stints GROUP BY ALL) SELECT DISTINCT game_id FROM m WHERE CAST(regexp_extract(game_id, '(\\d+)$', 1) AS INTEGER) % 7 = 0 AND poss % 5 <> 0")
+def inexact_games(spark: SparkSession, d: str) -> DataFrame:
+    """Games that fail because a player's possessions are missing from a lineup's."""
+    number = F.regexp_extract("game_id", r"(\d+)$", 1).cast("int")
+    lost = (number % 7 == 0) & (F.col("stat_key") == "OffPoss") & (F.col("player_id") == F.split("lineup_id", "-")[0].cast("long"))
+    return possessions.stints_and_failures(statistics(spark, d).where(~lost))[1].select("game_id")
+
+
+@query(
+    """WITH shots AS (
+  SELECT l_orderkey AS o, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN l_linenumber % 3 = 0 THEN 1 WHEN l_quantity >= 40 THEN 3 ELSE 2 END) AS BIGINT) AS points FROM lineitem GROUP BY l_orderkey
+) SELECT concat('O', o) AS game_id, 1 AS side, 5 + n + 1 AS poss, points FROM shots UNION ALL SELECT concat('O', o), 2, 5 + n, 0 FROM shots"""
+)
+def play_by_play_stints(spark: SparkSession, d: str) -> DataFrame:
+    """A game for every order: each of the first team misses, is rebounded and gets the ball back by a turnover; every line item is
+    a shot of two or three points or a trip to the line with one of two made, and another turnover."""
+    turn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), turn.alias("turn"), F.col("l_linenumber").cast("int").alias("n"), (F.col("l_quantity") >= 40).alias("far"))
+    orders = items.select("o").distinct()
+
+    def event(at, kind: int, team: int, player=1, text: str = "x", action: int = 1):
+        named = F.lit(1600000000 + team) if player is None else (F.lit(player) if isinstance(player, int) else player) + 10 * team
+        return F.struct(F.lit(at).alias("at") if isinstance(at, int) else at.alias("at"), F.lit(kind).alias("kind"), F.lit(action).alias("action"), named.cast("long").alias("player"), F.lit(None if player is None else 1600000000 + team).cast("long").alias("team"), F.lit(text).alias("text") if isinstance(text, str) else text.alias("text"))
+
+    opening = [event(0, 12, 1, None)] + [e for p in range(1, 6) for e in (event(3 * p, 2, 1, p, "MISS"), event(3 * p + 1, 4, 2, p), event(3 * p + 2, 5, 2, p))]
+    begin = orders.select("o", F.explode(F.array(*opening, event(10**6, 13, 1, None))).alias("e"))
+    at = lambda k: (F.col("turn") * 10 + 100 + k).cast("int")
+    shot = F.array(event(at(0), 1, 1, 1, F.when(F.col("far"), "3PT shot").otherwise("shot")), event(at(6), 5, 2))
+    trip = F.array(event(at(0), 6, 2, 1, "x", 2), event(at(1), 3, 1, 2, "MISS Free Throw 1 of 2"), event(at(2), 4, 1, None), event(at(3), 3, 1, 2, "Free Throw 2 of 2"), event(at(6), 5, 2))
+    all_ = begin.unionByName(items.select("o", F.explode(F.when(F.col("n") % 3 == 0, trip).otherwise(shot)).alias("e")))
+    none = {f"PLAYER{k}_{x}": F.lit(None).cast("long") for k in (2, 3) for x in ("ID", "TEAM_ID")} | {f"PERSON{k}TYPE": F.lit(None).cast("int") for k in (1, 2, 3)}
+    rows = all_.select(
+        F.concat(F.lit("O"), F.col("o").cast("string")).alias("GAME_ID"), F.col("e.at").cast("long").alias("EVENTNUM"), F.col("e.kind").alias("EVENTMSGTYPE"), F.col("e.action").alias("EVENTMSGACTIONTYPE"), F.lit(1).alias("PERIOD"),
+        F.concat(F.col("e.at").cast("string"), F.lit(":00")).alias("PCTIMESTRING"), F.col("e.text").alias("HOMEDESCRIPTION"), *[F.lit(None).cast("string").alias(c) for c in ("NEUTRALDESCRIPTION", "VISITORDESCRIPTION", "SCORE")],
+        F.col("e.player").alias("PLAYER1_ID"), F.col("e.team").alias("PLAYER1_TEAM_ID"), *[v.alias(k) for k, v in none.items()],
+    )
+    good = possessions.stints_and_failures(events.possession_statistics(rows))[0]
+    return good.groupBy("game_id", (F.col("off_team_id") - 1600000000).cast("int").alias("side")).agg(F.sum("poss").alias("poss"), F.sum("points").alias("points"))
+
+
+@query(f"WITH {FEATURES_SQL} SELECT player_id, minutes, box_PTS, box_AST, adv_NET_RATING, adv_PACE, '2000-01' AS season, 'Playoffs' AS season_type FROM wide WHERE box_PTS IS NOT NULL OR adv_PACE IS NOT NULL")
+def features_stored(spark: SparkSession, d: str) -> DataFrame:
+    """A scope's features, built from payloads, stored and loaded; its season has no tracking."""
+    base, advanced, _ = feature_frames(spark, d)
+    scope = ("2000-01", "Playoffs")
+    payload = lambda df: {"resultSets": [{"headers": df.columns, "rowSet": df.toPandas().astype(object).where(df.toPandas().notna(), None).values.tolist()}]}
+    frames = {"dash_base": base, "dash_advanced": advanced}
+    with tempfile.TemporaryDirectory() as folder:
+        features.build_season_features(spark, Path(folder), *scope, fetch=lambda name: payload(frames["_".join(name.split("_")[:2])]))
+        wide = features.load_features(spark, Path(folder), [scope[0]], [scope[1]])
+        rows = wide.select("player_id", "minutes", "box_PTS", "box_AST", "adv_NET_RATING", F.col("adv_PACE").cast("long").alias("adv_PACE"), "season", "season_type")
+        return spark.createDataFrame(rows.collect(), rows.schema)  # a row for each player
+
+
+@query("SELECT i AS player_id, concat('Player ', i) AS player_name, round(i / 7.0, 3) AS orapm, round(-i / 11.0, 3) AS drapm FROM range(1, 51) t(i)")
+def result_csv(spark: SparkSession, d: str) -> DataFrame:
+    """A result file of fixed ratings, written and read again."""
+    import pandas as pd
+
+    from courtside.sources.results import write_result
+
+    p = range(1, 51)
+    with tempfile.TemporaryDirectory() as folder:
+        path = write_result(Path(folder), "x", pd.DataFrame({"player_id": p, "player_name": [f"Player {i}" for i in p], "orapm": [i / 7 for i in p], "drapm": [-i / 11 for i in p]}), {})
+        return spark.createDataFrame(pd.read_csv(path))
 
 
 @query(f"{WITH} SELECT DISTINCT season, CAST(left(season, 4) AS INTEGER) + 1 AS end_year FROM stints")

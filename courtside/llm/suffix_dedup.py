@@ -5,21 +5,25 @@ The windows of ``length`` bytes are represented by anchors (see anchors.py): equ
 same offset.
 
 A. Tasks hash their texts and find anchors; each anchor stands for a run of windows, its context is their bytes. Contexts
-   that occur again within a batch lose to the first at once, so a passage in a third of all documents sends one record
-   per batch. What is left goes to partitions by k-mer hash.
-B. Equal contexts of a k-mer form a class, and all but its first occurrence are duplicates. Where a k-mer has several
-   classes, these meet at the border of a repeated passage and are looked at byte by byte:
-C. the documents meet what B found about them and send the contexts of such class representatives, by k-mer again;
+   that occur again within a batch (by hash, and then compared byte by byte) lose to the first at once, so a passage in a
+   third of all documents sends one record per batch. What is left goes to partitions by k-mer hash.
+B. A k-mer that occurs once has no equal window; the others are looked at byte by byte:
+C. the documents meet what B asks of them and send the contexts of these anchors, by k-mer again;
 D. the suffixes that start at the anchors and the reversed prefixes that end before them are sorted by hash-compared
    mergesort (see suffixes.py). Verified common extensions of neighbours give the classes of equal right parts and equal
    left parts at every length, and with them the windows that are equal, of which the first stays.
 E. The documents meet all duplicates and keep the rest.
 
-K-mers whose contexts differ in very many places (found in a sample of the documents; it only steers the plan) are not
-sent whole to one partition: their windows travel on their own, by a 128-bit hash of the window, and cost a record each.
+So no byte goes on the strength of a hash: A compares bytes, and D verifies extensions on them.
+
+K-mers of which there would be more than ``HOT_RECORDS`` records, or a share of ``HOT_SHARE`` (as a sample of the documents tells;
+it only steers the plan) are not sent whole to one partition: their windows travel on their own, by the window's hash instead of the
+k-mer's, and cost a record each.
 
 The texts are shuffled once, compressed; C and E read the same shuffle. Groups of documents are dealt by hash in about
-``GROUP_BYTES`` each. B's findings are a durable table, so a lost executor repeats only its own part.
+``GROUP_BYTES`` each (more, where that would make more than ``MAX_BUCKETS`` groups). Partitions grow with the input up to
+``PART_MOST`` bytes; where more than ``MAX_PARTS`` of them would be needed, A to D run in several passes over ranges of
+k-mer hashes. What B and D find are durable tables, so a lost executor repeats only its own part.
 
 Defined cases: a null text is an empty one; a text shorter than ``length`` loses nothing; rows with a null id come after
 all others; rows with the same id and text are one document and each row shows its result; rows with the same id and
@@ -49,16 +53,17 @@ K = 16
 #: Bytes hashed together; documents whose anchors are held together; contexts sorted together (whole k-mers).
 BUFFER = 1 << 20
 BATCH, SORTED = 4000, 12_000
-GROUP_BYTES = 8 << 20
-PART_BYTES = 16 << 20
+GROUP_BYTES, MAX_BUCKETS = 8 << 20, 1 << 20
+#: Input for each partition of k-mers at least and at most, and partitions in one pass.
+PART_BYTES, PART_MOST, MAX_PARTS = 16 << 20, 256 << 20, 20_000
 #: Buckets for each partition, so that hashing them to partitions comes out even.
 FINE = 16
 #: The sample for hot k-mers: one document in this many, but at most so many bytes.
 SAMPLE, SAMPLE_BYTES = 16, 1 << 31
-#: In the sample, a k-mer is hot from so many records or this share of all.
-HOT_LEAST, HOT_SHARE = 300, 1 / 2000
+#: A k-mer is hot from so many records or this share of all on, if the sample has so many of them.
+HOT_RECORDS, HOT_SHARE, HOT_LEAST = 2_000_000, 1 / 2000, 40
 
-_RECORDS = "bucket int, ids binary, fps binary, kh binary, ch binary, doc binary, a binary, d binary"
+_RECORDS = "bucket int, ids binary, fps binary, kh binary, doc binary, a binary, d binary"
 _FOUND = "bucket int, ids binary, fps binary, doc binary, start binary, stop binary, kh binary"
 
 
@@ -175,31 +180,42 @@ def read_found(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
         yield np.frombuffer(r["ids"], np.int64), np.frombuffer(r["fps"], np.int64), doc, from_planes(r["start"]), from_planes(r["stop"]), kh, a
 
 
-def sent_anchors(docs: DataFrame, length: int, k: int, hot, kmer_buckets: int, doc_buckets: int) -> DataFrame:
+def same_context(texts: list[bytes], doc: np.ndarray, start: np.ndarray, stop: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether contexts i and j have the same bytes."""
+    pairs = zip(doc[i].tolist(), start[i].tolist(), stop[i].tolist(), doc[j].tolist(), start[j].tolist(), stop[j].tolist(), strict=True)
+    return np.fromiter((texts[d][s:e] == texts[f][t:g] for d, s, e, f, t, g in pairs), dtype=bool, count=len(i))
+
+
+def sent_anchors(docs: DataFrame, length: int, k: int, hot, kmer_buckets: int, doc_buckets: int, passes: int, own: int) -> DataFrame:
     """Stage A: records for the k-mer partitions, and duplicates within a batch as finished findings (bucket < 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             d = Documents(batch.column(0).to_pylist(), text_bytes(batch.column(1)))
             kh, ch, doc, a, lo, hi = records(d.texts, length, k, hot.value)
+            if passes > 1:
+                mine = (kh >> np.uint64(32)) % np.uint64(passes) == np.uint64(own)
+                kh, ch, doc, a, lo, hi = (x[mine] for x in (kh, ch, doc, a, lo, hi))
             order = np.lexsort((ch, kh))
             again = np.concatenate(([False], (kh[order][1:] == kh[order][:-1]) & (ch[order][1:] == ch[order][:-1])))[: len(order)]
+            at = np.flatnonzero(again)
+            again[at] = same_context(d.texts, doc, a - lo, a - hi + length, order[at - 1], order[at])
             gone = np.sort(order[again])
-            out = [(-1 - b, i, f, b"", b"", n, s, e) for b, i, f, n, s, e, _ in found_rows(d.ids, d.fps, doc[gone], (a - lo)[gone], (a - hi)[gone] + length, None, doc_buckets)]
+            out = [(-1 - b, i, f, b"", n, s, e) for b, i, f, n, s, e, _ in found_rows(d.ids, d.fps, doc[gone], (a - lo)[gone], (a - hi)[gone] + length, None, doc_buckets)]
             keep = np.sort(order[~again])
             bucket = (kh[keep] % np.uint64(kmer_buckets)).astype(np.int64)
             for b, rows in split(bucket):
                 rows = keep[rows]
                 used, local = np.unique(doc[rows], return_inverse=True)
-                out.append((b, d.ids[used].tobytes(), d.fps[used].tobytes(), kh[rows].tobytes(), ch[rows].tobytes(), planes(local), planes(a[rows]), lo[rows].astype(np.uint8).tobytes() + hi[rows].astype(np.uint8).tobytes()))
+                out.append((b, d.ids[used].tobytes(), d.fps[used].tobytes(), kh[rows].tobytes(), planes(local), planes(a[rows]), lo[rows].astype(np.uint8).tobytes() + hi[rows].astype(np.uint8).tobytes()))
             for at in range(0, len(out), 4000):
                 yield batch_of(out[at : at + 4000], _RECORDS)
 
     return docs.mapInArrow(run, _RECORDS)
 
 
-def judged(sent: DataFrame, length: int, doc_buckets: int) -> DataFrame:
-    """Stage B: duplicates and contexts to be looked at, by documents (_FOUND)."""
+def judged(sent: DataFrame, doc_buckets: int) -> DataFrame:
+    """Stage B: duplicates found by A, and the contexts to be looked at, by documents (_FOUND)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
@@ -211,27 +227,25 @@ def judged(sent: DataFrame, length: int, doc_buckets: int) -> DataFrame:
                     continue
                 doc, d = from_planes(r["doc"]), np.frombuffer(r["d"], np.uint8).reshape(2, -1)
                 ids, fps = np.frombuffer(r["ids"], np.int64)[doc], np.frombuffer(r["fps"], np.int64)[doc]
-                parts.append((np.frombuffer(r["kh"], np.uint64), np.frombuffer(r["ch"], np.uint64), ids, fps, from_planes(r["a"]).astype(np.uint32), d[0], d[1]))
+                parts.append((np.frombuffer(r["kh"], np.uint64), ids, fps, from_planes(r["a"]).astype(np.uint32), d[0], d[1]))
             if ready:
                 yield batch_of(ready, _FOUND)
         if not parts:
             return
-        kh, ch, ids, fps, a, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+        kh, ids, fps, a, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
         parts.clear()
-        order = np.lexsort((a, fps, ids, ch, kh))
-        kh, ch, ids, fps, a, lo, hi = (x[order] for x in (kh, ch, ids, fps, a.astype(np.int64), lo.astype(np.int64), hi.astype(np.int64)))
-        new_k = np.concatenate(([True], kh[1:] != kh[:-1]))
-        new = new_k | np.concatenate(([True], ch[1:] != ch[:-1]))
-        first = np.maximum.accumulate(np.where(new, np.arange(len(kh)), 0))
-        same = (ids == ids[first]) & (fps == fps[first]) & (a == a[first])  # a repeated row is the same place
-        group = np.cumsum(new_k) - 1
-        several = np.bincount(group, new) > 1
-        gone = np.flatnonzero(~new & ~same)
-        look = np.flatnonzero(new & several[group])
+        order = np.argsort(kh, kind="stable")
+        several = kh[order][1:] == kh[order][:-1]
+        order = order[np.concatenate(([False], several)) | np.concatenate((several, [False]))]
+        kh, ids, fps, a, lo, hi = (x[order] for x in (kh, ids, fps, a, lo, hi))
+        order = np.lexsort((a, fps, ids, kh))
+        kh, ids, fps, a, lo, hi = (x[order] for x in (kh, ids, fps, a.astype(np.int64), lo.astype(np.int64), hi.astype(np.int64)))
+        # a repeated row is the same place
+        new = np.ones(len(kh), dtype=bool)
+        new[1:] = (kh[1:] != kh[:-1]) | (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1]) | (a[1:] != a[:-1])
         pair, doc = np.unique(np.stack((ids, fps)), axis=1, return_inverse=True)
         doc = doc.reshape(-1)
-        out = list(found_rows(pair[0], pair[1], doc[gone], (a - lo)[gone], (a - hi)[gone] + length, None, doc_buckets))
-        out += found_rows(pair[0], pair[1], doc[look], lo[look], hi[look], kh[look], doc_buckets, a[look])
+        out = list(found_rows(pair[0], pair[1], doc[new], lo[new], hi[new], kh[new], doc_buckets, a[new]))
         for at in range(0, len(out), 4000):
             yield batch_of(out[at : at + 4000], _FOUND)
 
@@ -410,7 +424,8 @@ def cut(texts: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def hot_kmers(docs: DataFrame, total: int, length: int, k: int) -> np.ndarray:
-    """The sorted hashes of k-mers with very many different contexts in a bounded sample; at most 1 / HOT_SHARE of them."""
+    """The sorted hashes of k-mers with very many different contexts, by a bounded sample; at most 1 / HOT_SHARE of them and
+    one for every HOT_RECORDS records."""
     share = min(1 / SAMPLE, SAMPLE_BYTES / max(total, 1))
     sample = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
@@ -420,13 +435,12 @@ def hot_kmers(docs: DataFrame, total: int, length: int, k: int) -> np.ndarray:
             kh, ch, *_ = records(d.texts, length, k, np.empty(0, np.uint64))
             pair = np.unique(np.stack((kh, ch)), axis=1)[0] if len(kh) else kh
             key, n = np.unique(pair, return_counts=True)
-            often = n >= 3  # what is rare in every batch isn't hot
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((key[often].view(np.int64), [0]))), pa.array(np.concatenate((n[often], [0]))), pa.array(np.concatenate((np.zeros(often.sum(), np.int64), [len(pair)])))], names=["kh", "n", "all"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["kh", "n"])
 
-    seen = sample.mapInArrow(count, "kh long, n long, all long").groupBy("kh").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
-    seen = durable(seen)
-    whole = seen.agg(F.sum("all")).first()[0] or 0
-    rows = seen.where(F.col("n") >= max(HOT_LEAST, int(whole * HOT_SHARE))).select("kh").collect()
+    seen = durable(sample.mapInArrow(count, "kh long, n long").groupBy("kh").agg(F.sum("n").alias("n")).where("n > 1"))
+    whole = total * share / (length - k + 2) * 2  # about as many anchors as the sample has
+    least = max(HOT_LEAST, min(whole * HOT_SHARE, HOT_RECORDS * share))
+    rows = seen.where(F.col("n") >= int(least)).select("kh").collect()
     return np.sort(np.array([r["kh"] for r in rows], dtype=np.int64).view(np.uint64))
 
 
@@ -437,12 +451,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / PART_BYTES))
-    kmer_buckets, doc_buckets = FINE * parts, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / GROUP_BYTES))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = min(max(PART_BYTES, total / MAX_PARTS), PART_MOST)
+    parts = max(least, math.ceil(total / size))
+    passes = math.ceil(parts / MAX_PARTS)
+    parts = math.ceil(parts / passes)
+    kmer_buckets, doc_buckets = FINE * parts, max(2 * least, min(MAX_BUCKETS, math.ceil(total / GROUP_BYTES)))
     hot = spark.sparkContext.broadcast(hot_kmers(docs, total, length, k))
-    found = durable(judged(sent_anchors(docs, length, k, hot, kmer_buckets, doc_buckets).repartition(parts, "bucket"), length, doc_buckets))
     texts = packed(docs, doc_buckets)
-    more = compared(contexts(texts, found.where(F.length("kh") > 0), length, kmer_buckets).repartition(parts, "bucket"), length, doc_buckets)
-    out = cut(texts, found.where(F.length("kh") == 0).unionByName(more))
+    if passes > 1:
+        texts = durable(texts)
+    gone = None
+    for own in range(passes):
+        found = durable(judged(sent_anchors(docs, length, k, hot, kmer_buckets, doc_buckets, passes, own).repartition(parts, "bucket"), doc_buckets))
+        more = compared(contexts(texts, found.where(F.length("kh") > 0), length, kmer_buckets).repartition(parts, "bucket"), length, doc_buckets)
+        both = found.where(F.length("kh") == 0).unionByName(durable(more) if passes > 1 else more)
+        gone = both if gone is None else gone.unionByName(both)
+    out = cut(texts, gone)
     shown = F.when(F.col("id") == NO_ID, F.lit(None)).otherwise(F.col("id"))
     return out.select(shown.alias(id_col), "n_bytes", "n_removed", "spans", "kept")

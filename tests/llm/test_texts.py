@@ -69,7 +69,7 @@ def test_suffix_dedup_equals_brute_force(prose):
 
 def test_suffix_dedup_hot_kmers_take_the_other_way(prose, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
-    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 3)
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 2)
     monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 0.0)
     docs = {r.doc_id: r.text.encode() for r in prose.collect()}
     assert len(suffix_dedup.hot_kmers(prose.select(F.col("doc_id").alias("id"), "text"), 1, 100, 16))
@@ -77,6 +77,33 @@ def test_suffix_dedup_hot_kmers_take_the_other_way(prose, monkeypatch):
     assert {r.doc_id: r.n_removed for r in suffix_dedup.dedup_substrings(prose).collect()} == {i: sum(g) for i, g in want.items()}
 
 
+def test_contexts_are_compared_on_bytes(prose):
+    """Where all k-mer hashes collide, both comparisons still tell contexts apart."""
+    texts = [r.text.encode() for r in prose.orderBy("doc_id").limit(60).collect()]
+    kh, ch, doc, a, lo, hi = suffix_dedup.records(texts, 100, 16, np.empty(0, np.uint64))
+    order = np.lexsort((a, doc))
+    doc, a, lo, hi = (x[order].astype(np.int64) for x in (doc, a, lo, hi))
+    contexts = [texts[d][x - y : x - z + 100] for d, x, y, z in zip(doc, a, lo, hi)]
+    i, j = np.meshgrid(np.arange(40), np.arange(len(contexts)))
+    i, j = i.ravel(), j.ravel()
+    same = suffix_dedup.same_context(texts, doc, a - lo, a - hi + 100, i, j)
+    assert same.tolist() == [contexts[x] == contexts[y] for x, y in zip(i, j)] and 40 <= same.sum() < len(same)
+    hit, offset = suffix_dedup.equal_windows(np.zeros(len(a), np.uint64), lo, hi, np.frombuffer(b"".join(contexts), np.uint8), 100)
+    seen, want = set(), set()
+    for c in range(len(a)):
+        own = {o: texts[doc[c]][a[c] - o : a[c] - o + 100] for o in range(hi[c], lo[c] + 1)}
+        want |= {(c, o) for o, w in own.items() if w in seen}
+        seen |= set(own.values())
+    assert set(zip(hit.tolist(), offset.tolist())) == want and want
+
+
+def test_suffix_dedup_in_passes(prose, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MAX_PARTS", 2)
+    docs = {r.doc_id: r.text.encode() for r in prose.collect()}
+    want = removed(docs, 100)
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.dedup_substrings(prose).collect()} == {i: sum(g) for i, g in want.items()}
+
+
 def test_suffix_dedup_cuts_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUFFER", 1000)
     r = random.Random(3)

@@ -56,8 +56,6 @@ BATCH, SORTED = 4000, 12_000
 GROUP_BYTES, MAX_BUCKETS = 8 << 20, 1 << 20
 #: Input for each partition of k-mers at least and at most, and partitions in one pass.
 PART_BYTES, PART_MOST, MAX_PARTS = 16 << 20, 256 << 20, 20_000
-#: Buckets for each partition, so that hashing them to partitions comes out even.
-FINE = 16
 #: The sample for hot k-mers: one document in this many, but at most so many bytes.
 SAMPLE, SAMPLE_BYTES = 16, 1 << 31
 #: A k-mer is hot from so many records or this share of all on, if the sample has so many of them.
@@ -456,17 +454,19 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     parts = max(least, math.ceil(total / size))
     passes = math.ceil(parts / MAX_PARTS)
     parts = math.ceil(parts / passes)
-    kmer_buckets, doc_buckets = FINE * parts, max(2 * least, min(MAX_BUCKETS, math.ceil(total / GROUP_BYTES)))
+    doc_buckets = max(2 * least, min(MAX_BUCKETS, math.ceil(total / GROUP_BYTES)))
+    # k-mers are dealt evenly by their hash; documents in as many partitions as the input needs, once for C and E
+    by_kmer = lambda df: df.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int"))
+    by_doc = lambda df: df.repartition(max(least, math.ceil(total / size)), "bucket")
     hot = spark.sparkContext.broadcast(hot_kmers(docs, total, length, k))
-    texts = packed(docs, doc_buckets)
-    if passes > 1:
-        texts = durable(texts)
+    texts = by_doc(packed(docs, doc_buckets))
     gone = None
     for own in range(passes):
-        found = durable(judged(sent_anchors(docs, length, k, hot, kmer_buckets, doc_buckets, passes, own).repartition(parts, "bucket"), doc_buckets))
-        more = compared(contexts(texts, found.where(F.length("kh") > 0), length, kmer_buckets).repartition(parts, "bucket"), length, doc_buckets)
+        found = durable(judged(by_kmer(sent_anchors(docs, length, k, hot, parts, doc_buckets, passes, own)), doc_buckets))
+        more = compared(by_kmer(contexts(texts, by_doc(found.where(F.length("kh") > 0)), length, parts)), length, doc_buckets)
         both = found.where(F.length("kh") == 0).unionByName(durable(more) if passes > 1 else more)
         gone = both if gone is None else gone.unionByName(both)
+    gone = by_doc(gone)
     out = cut(texts, gone)
     shown = F.when(F.col("id") == NO_ID, F.lit(None)).otherwise(F.col("id"))
     return out.select(shown.alias(id_col), "n_bytes", "n_removed", "spans", "kept")

@@ -40,7 +40,7 @@ BANDS, ROWS = 30, 5
 #: Larger buckets are dealt out by prefix shingle.
 SPLIT = 5000
 #: Elements that get ranks together.
-CHUNK = 150_000
+CHUNK = 60_000
 _FRACTION = 24
 
 

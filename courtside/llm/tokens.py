@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at a time; a text is only cut at white space.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.llm.common import cut_by, slices
+from courtside.llm.common import cut_by, slices, small_batches
 
 #: Entries of each table that a task keeps (matches, token pairs).
 CACHE = 300_000
@@ -257,6 +257,7 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_i
     if "tokens" in (id_col, *carry):
         raise ValueError("columns ['tokens'] are results of encode")
     kept = list(dict.fromkeys([id_col, *carry]))
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks.value, pattern)  # a task's own: idle workers keep no tables

@@ -50,6 +50,15 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch that goes to Python hold much more than SLICE_BYTES (one row at least), so that long texts don't add up
+    outside the heap. The setting stays, as operators run when their results are read."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "64m").lower().removesuffix("b")
+    if not now.isdigit() or int(now) > SLICE_BYTES:
+        spark.conf.set(key, str(SLICE_BYTES))
+
+
 def cut_by(batch: pa.RecordBatch, sizes: np.ndarray, rows: int, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``rows`` rows whose sizes add up to about ``size`` (one row at least)."""
     if not batch.num_rows:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import durable, slices
+from courtside.llm.common import durable, slices, small_batches
 from courtside.llm.minhash import text_bytes
 from courtside.llm.tokens import mix, words_of_batch
 
@@ -293,6 +293,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # what is broadcast costs about 20 bytes for each byte of text, and 1 kB for each item
     size = items.agg(F.sum(F.octet_length("text") + 50)).first()[0] or 0
     kept = docs.select(*dict.fromkeys([id_col, text_col, *carry]))
+    small_batches(docs.sparkSession)
     if size <= block_bytes:
         out = looked_up(kept, [(r["id"], r["text"]) for r in items.collect()], text_col, min_words, short_share)
     else:

@@ -25,32 +25,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import slices
+from courtside.llm.common import slices, small_batches
 
 SAMPLE, SAMPLE_CHARS, LANDMARKS = 1200, 20_000, 240
 RIDGE = 1e-2
 NONE = "und"
 ORDERS = (1, 2, 3)
+#: Bytes whose n-grams are looked at together; places within them are 16-bit numbers.
+PIECE = 60_000
 
 
 class Grams:
-    """Distinct byte n-grams of texts, with tables that are allocated once."""
+    """Distinct byte n-grams of texts, with a table that is allocated once."""
 
     def __init__(self) -> None:
-        self.stamp = np.zeros(1 << 24, dtype=np.int32)
+        self.stamp = np.zeros(1 << 24, dtype=np.uint16)
 
     def distinct(self, text: str) -> list[np.ndarray]:
         """For each n the codes of the n-grams that are present, each once."""
-        b = np.frombuffer(text.lower().encode(), dtype=np.uint8).astype(np.int32)
-        out = []
-        for n in ORDERS:
-            codes = b[: max(0, len(b) - n + 1)]
-            for i in range(1, n):
-                codes = (codes << 8) | b[i : len(b) - n + 1 + i]
-            at = np.arange(len(codes), dtype=np.int32)
-            self.stamp[codes] = at  # the last place of each code is the one that is kept
-            out.append(codes[self.stamp[codes] == at])
-        return out
+        whole = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+        parts: list[list[np.ndarray]] = [[] for _ in ORDERS]
+        # pieces of a long text have all but one byte of the longest n-gram in common
+        for begin in range(0, max(1, len(whole) - ORDERS[-1] + 1), PIECE):
+            b = whole[begin : begin + PIECE + ORDERS[-1] - 1].astype(np.int32)
+            for o, n in enumerate(ORDERS):
+                codes = b[: max(0, len(b) - n + 1)]
+                for i in range(1, n):
+                    codes = (codes << 8) | b[i : len(b) - n + 1 + i]
+                at = np.arange(len(codes), dtype=np.uint16)
+                self.stamp[codes] = at  # the last place of each code is the one that is kept
+                parts[o].append(codes[self.stamp[codes] == at])
+        return [p[0] if len(p) == 1 else np.unique(np.concatenate(p)) for p in parts]
 
 
 @dataclass(frozen=True)
@@ -168,6 +173,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
     if model is None:
         return docs.select(*carry, F.lit(NONE).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)

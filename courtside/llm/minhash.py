@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import NO_ID, components, durable, forget, slices
+from courtside.llm.common import NO_ID, components, durable, forget, slices, small_batches
 from courtside.llm.tokens import mix, shingles, words_of_batch
 
 WORDS = 5
@@ -220,6 +220,7 @@ def pairs_across(buckets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links reach) and kept (it is that id); a row per row of docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     sig = durable(signed(texts, words, bands, rows))
     classes = durable(sig.where("f1 is not null").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))

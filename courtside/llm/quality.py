@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import durable, slices
+from courtside.llm.common import durable, slices, small_batches
 from courtside.llm.minhash import text_bytes
 from courtside.llm.tokens import word_hashes
 
@@ -142,6 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def evidence(docs: DataFrame, models: tuple[Logistic, Logistic], id_col: str, text_col: str, host_col: str, path_col: str) -> DataFrame:
     """(id, host, path, q, toxicity): the logit of quality and the probability of toxicity of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quality, toxic = shared.value

@@ -244,6 +244,11 @@ class Decoder:
         return self.bytes[take], before[ends]
 
 
+def binaries(data: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """Binary values that end at stops[1], stops[2], ... of the bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(stops) - 1, [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(data)])
+
+
 def broadcast_ranks(spark: SparkSession, path: str) -> Broadcast:
     with open(path, "rb") as file:
         content = file.read(MAX_RANK_BYTES + 1)
@@ -252,21 +257,28 @@ def broadcast_ranks(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(content)
 
 
-def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, the carried columns and tokens (array<int>); one row per row of docs."""
-    if "tokens" in (id_col, *carry):
-        raise ValueError("columns ['tokens'] are results of encode")
+def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
+    """id, the carried columns and tokens (array<int>); one row per row of docs. With decoded also that column (binary), the bytes
+    of the tokens as decode() gives them, by the same worker."""
+    results = ["tokens", *["decoded"] * decoded]
+    if clash := sorted({id_col, *carry} & set(results)):
+        raise ValueError(f"columns {clash} are results of encode")
     kept = list(dict.fromkeys([id_col, *carry]))
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks.value, pattern)  # a task's own: idle workers keep no tables
+        decoder = Decoder(encoder.vocabulary.ranks) if decoded else None
         for batch in slices(batches, text_col, rows=ROWS):
             ids = encoder.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
             ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.empty(0, np.int32)]))], names=[*kept, "tokens"])
+            flat = np.concatenate([*ids, np.empty(0, np.int32)])
+            out = [pa.ListArray.from_arrays(ends, flat)]
+            if decoder is not None:
+                out.append(binaries(*decoder.decode_batch(flat, ends)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *out], names=[*kept, *results])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", tokens array<int>"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", tokens array<int>" + ", decoded binary" * decoded
     return docs.select(*dict.fromkeys([text_col, *kept])).mapInArrow(run, schema)
 
 
@@ -285,7 +297,6 @@ def decode(encoded: DataFrame, ranks: Broadcast, tokens_col: str = "tokens") ->
                 lists = batch.column(at_tokens)
                 ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))).astype(np.int64)
                 data, stops = decoder.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends)
-                out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=names)
+                yield pa.RecordBatch.from_arrays([*batch.columns, binaries(data, stops)], names=names)
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
 import uuid
@@ -73,9 +74,19 @@ def cut_by(batch: pa.RecordBatch, sizes: np.ndarray, rows: int, size: int) -> It
 
 def slices(batches: Iterator[pa.RecordBatch], column: int | str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose values of a string column hold about ``size`` bytes (one row at least) and that have
-    at most ``rows`` rows; an empty batch is one slice."""
+    at most ``rows`` rows; an empty batch is one slice. What the worker's earlier tasks have freed goes back to the system."""
+    give_back()
     for batch in batches:
         yield from cut_by(batch, pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64), rows, size)
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def ascii_lower(text: Column) -> Column:

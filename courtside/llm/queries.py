@@ -172,7 +172,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    out = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     ids = F.array_join(F.col("tokens").cast("array<string>"), ",")
     return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 

@@ -319,6 +319,8 @@ def test_bpe_equals_the_library(spark, odd_docs, no_docs):
     assert len(rows) == table.count()
     for x in rows:
         assert x.tokens == library.encode_ordinary(x.text or "") and bytes(x.decoded) == (x.text or "").encode()
+    once = bpe.encode(table, shared, public_tokenizers.PATTERN, carry=("text",), decoded=True).collect()
+    assert sorted(map(str, once)) == sorted(map(str, bpe.decode(bpe.encode(table, shared, public_tokenizers.PATTERN, carry=("text",)), shared).collect()))
     assert bpe.encode(no_docs, shared, public_tokenizers.PATTERN).count() == 0
     with pytest.raises(KeyError):
         bpe.Decoder(ranks).decode_batch(np.array([60_000]), np.array([0, 1]))

@@ -70,7 +70,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path(RANKS))
-    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN, carry=("lang", "source", "text")), ranks)
+    out = bpe.encode(docs, ranks, public_tokenizers.PATTERN, carry=("lang", "source", "text"), decoded=True)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return out.select("doc_id", "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), "tokens", same.alias("round_trip"))
 

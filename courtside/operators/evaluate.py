@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from contextlib import closing
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -10,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions.columns import per_100, player_ids
+from courtside.operators.cube import TooLarge
 from courtside.operators.interactions import FEATURES, fit_interaction_rapm, raw_features
-from courtside.operators.rapm import Prior, Ratings, fit_rapm
+from courtside.operators.rapm import Data, Prior, Ratings, fit_rapm
 
 PriorFn = Callable[[DataFrame], Prior | None]
 
@@ -84,39 +88,70 @@ def scorable(test: DataFrame, score_garbage: bool = True) -> DataFrame:
     return test if score_garbage or "garbage" not in test.columns else test.where(~F.coalesce("garbage", F.lit(False)))
 
 
+def matchup_points(test: DataFrame) -> DataFrame:
+    """Scorable rows added up per matchup, which is all that a prediction depends on."""
+    return test.groupBy("off_lineup", "def_lineup").agg(F.sum("poss").alias("poss"), F.sum("points").alias("points"), F.sum(F.col("points").cast("double") * F.col("points") / F.col("poss")).alias("points2"))
+
+
+def matchup_mse(scored: DataFrame, predicted: str = "predicted") -> float:
+    """weighted_mse of the rows behind matchup_points()."""
+    f = F.col(predicted)
+    return scored.agg((F.sum(1e4 * F.col("points2") - 200.0 * F.col("points") * f + F.col("poss") * f * f) / F.sum("poss")).alias("m")).first()["m"]
+
+
+class Split:
+    """One split of the games: its training rows and test matchups are stored, and the cube, the priors and the baseline, which
+    no weight changes, are made once for all fits."""
+
+    def __init__(self, stints: DataFrame, variants: dict[str, PriorFn | dict | None], test_frac: float = 0.2, seed: int = 0, score_garbage: bool = True) -> None:
+        train, test = holdout_split(stints, test_frac, seed)
+        self.train, self.test = train.persist(), matchup_points(scorable(test, score_garbage)).persist()
+        self.variants = {name: spec if isinstance(spec, dict) else {"prior_fn": spec} for name, spec in variants.items()}
+        self.data = functools.cache(self._data)
+        self.prior = functools.cache(lambda name: self.variants[name]["prior_fn"](self.train) if self.variants[name].get("prior_fn") else None)
+        self.base = functools.cache(lambda: matchup_mse(self.test.withColumn("predicted", F.lit(intercept_only(self.train)))))
+
+    def _data(self) -> Data | None:
+        """None where the players are too many for a cube: each fit then goes its own way."""
+        try:
+            return Data(self.train)
+        except TooLarge:
+            return None
+
+    def close(self) -> None:
+        self.train.unpersist()
+        self.test.unpersist()
+
+    def table(self, lam: float | str, **weights: float) -> pd.DataFrame:
+        rows = [("intercept-only", float("nan"), self.base())]
+        for name, spec in self.variants.items():
+            fit = fit_interaction_rapm if spec.get("interactions") else fit_rapm
+            result = fit(self.train, lam=lam, prior=self.prior(name), data=self.data(), **weights)
+            rows.append((name, result.meta["lambda"], matchup_mse(predict_stints(result, self.test))))
+        table = pd.DataFrame(rows, columns=["variant", "lambda", "holdout_mse"])
+        table["vs_baseline"] = self.base() - table["holdout_mse"]
+        return table
+
+
 def evaluate_variants(stints: DataFrame, variants: dict[str, PriorFn | dict | None], lam: float | str = "cv", test_frac: float = 0.2, seed: int = 0, decay: float = 1.0, playoff_weight: float = 1.0, garbage_weight: float = 1.0, score_garbage: bool = True) -> pd.DataFrame:
     """One row per variant with its error on held-out games, after that of the training mean; vs_baseline is the gain on it.
 
     A variant is a function of the training rows that gives a prior, None, or {"prior_fn": ..., "interactions": bool}.
     """
-    train, test = holdout_split(stints, test_frac, seed)
-    train, test = train.persist(), scorable(test, score_garbage).persist()
-    try:
-        base = weighted_mse(test.withColumn("predicted", F.lit(intercept_only(train))))
-        rows = [("intercept-only", float("nan"), base)]
-        for name, spec in variants.items():
-            spec = spec if isinstance(spec, dict) else {"prior_fn": spec}
-            prior = spec["prior_fn"](train) if spec.get("prior_fn") else None
-            fit = fit_interaction_rapm if spec.get("interactions") else fit_rapm
-            result = fit(train, lam=lam, prior=prior, decay=decay, playoff_weight=playoff_weight, garbage_weight=garbage_weight)
-            rows.append((name, result.meta["lambda"], weighted_mse(predict_stints(result, test))))
-    finally:
-        train.unpersist()
-        test.unpersist()
-    table = pd.DataFrame(rows, columns=["variant", "lambda", "holdout_mse"])
-    table["vs_baseline"] = base - table["holdout_mse"]
-    return table
-
-
-def evaluate_grid(stints: DataFrame, variants: dict, decays=(1.0,), garbage_weights=(1.0,), playoff_weights=(1.0,), **options) -> pd.DataFrame:
-    """evaluate_variants for every combination of weights, best first."""
+    with closing(Split(stints, variants, test_frac, seed, score_garbage)) as split:
+        return split.table(lam, decay=decay, playoff_weight=playoff_weight, garbage_weight=garbage_weight)
+
+
+def evaluate_grid(stints: DataFrame, variants: dict, decays=(1.0,), garbage_weights=(1.0,), playoff_weights=(1.0,), lam: float | str = "cv", **options) -> pd.DataFrame:
+    """evaluate_variants for every combination of weights, best first. All combinations share one split: its rows are read into
+    a cube and its priors fitted once, and a combination without interaction terms is algebra on the driver and a scan of the
+    test matchups."""
     tables = []
-    for decay in decays:
-        for garbage in garbage_weights:
-            for playoff in playoff_weights:
-                table = evaluate_variants(stints, variants, decay=decay, garbage_weight=garbage, playoff_weight=playoff, **options)
-                table.insert(0, "decay", decay)
-                table.insert(1, "garbage_weight", garbage)
-                table.insert(2, "playoff_weight", playoff)
-                tables.append(table)
+    with closing(Split(stints, variants, **options)) as split:
+        for decay, garbage, playoff in product(decays, garbage_weights, playoff_weights):
+            table = split.table(lam, decay=decay, garbage_weight=garbage, playoff_weight=playoff)
+            table.insert(0, "decay", decay)
+            table.insert(1, "garbage_weight", garbage)
+            table.insert(2, "playoff_weight", playoff)
+            tables.append(table)
     return pd.concat(tables, ignore_index=True).sort_values("holdout_mse", kind="stable", ignore_index=True)

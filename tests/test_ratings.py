@@ -220,3 +220,20 @@ def test_tune_search_runs_the_whole_descent(spark, monkeypatch, scoped):
     got = queries.tune_search(spark, "").toPandas()
     assert set(seeds) == {0, 1, 2} and {"baseline", "garbage_weight", "decay", "playoff_weight", "prior", "interactions"} == set(got["coordinate"])
     assert all(c["decay"] == 0.9 for c in tried if c["interactions"]) and got["mse"].min() == 8.0
+
+
+def test_grid_shares_cube_and_priors(monkeypatch, scoped):
+    from courtside.operators.evaluate import evaluate_grid, scorable, weighted_mse
+
+    made, own = [], Cube.__init__
+    monkeypatch.setattr(Cube, "__init__", lambda self, *a, **b: (made.append(1), own(self, *a, **b))[1])
+    variants = {"plain": None, "two-phase": lambda t: as_prior(fit_rapm(t, lam=500.0)), "interactions": {"interactions": True}}
+    grid = evaluate_grid(scoped, variants, garbage_weights=(1.0, 0.5), lam=500.0)
+    assert len(made) == 2  # one for all fits, one for the prior
+    train, test = holdout_split(scoped, 0.2, 0)
+    prior = as_prior(fit_rapm(train, lam=500.0))
+    for garbage in (1.0, 0.5):
+        got = grid[grid["garbage_weight"] == garbage].set_index("variant")["holdout_mse"]
+        options = {"lam": 500.0, "garbage_weight": garbage}
+        for name, fit in (("plain", fit_rapm(train, **options)), ("two-phase", fit_rapm(train, prior=prior, **options)), ("interactions", fit_interaction_rapm(train, **options))):
+            np.testing.assert_allclose(got[name], weighted_mse(predict_stints(fit, scorable(test))), rtol=1e-9)

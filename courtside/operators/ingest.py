@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions.seasons import manifest_path, play_by_play_path, stints_path
-from courtside.operators.events import final_scores, possession_statistics, read_events, unsupported_games
+from courtside.operators.events import final_scores, possession_totals, read_events, unsupported_games
 from courtside.operators.possessions import game_totals, score_warnings, stints_and_failures
 from courtside.schema import STINT_COLUMNS
 from courtside.sources.payloads import cached_payload
@@ -50,7 +50,7 @@ def fetched(data_dir: Path, games: list[str], fetch: Callable[[str], dict] | Non
 def parse_games(spark: SparkSession, data_dir: Path, games: list[str]) -> tuple[DataFrame, list[dict]]:
     """(stints, one report per game) of cached play-by-play: its totals and warnings, or its error. stints is persisted."""
     events = read_events(spark, [str(play_by_play_path(data_dir, g)) for g in games]).persist()
-    stints, bad = stints_and_failures(possession_statistics(events))
+    stints, bad = stints_and_failures(possession_totals(events))
     errors = unsupported_games(events).unionByName(bad).groupBy("game_id").agg(F.min("error").alias("error"))
     sound = stints.select(*STINT_COLUMNS).join(errors.select("game_id"), "game_id", "left_anti").select(*STINT_COLUMNS).persist()
     asked = spark.createDataFrame([(g,) for g in games], "game_id string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.functions.columns import dashes, garbage_time
@@ -43,7 +43,8 @@ def stints_and_failures(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stint rows of sound games, (game_id, error) of the others); one bad matchup fails its whole game."""
     sums = matchup_sums(stats).withColumn("error", problem())
     failed = sums.where("error is not null").groupBy("game_id").agg(F.min("error").alias("error"))
-    sound = sums.join(failed.select("game_id"), "game_id", "left_anti")
+    # a window, not a join with the failed games: the sums are made once, and a game has a few thousand matchups at most
+    sound = sums.withColumn("_bad", F.count("error").over(Window.partitionBy("game_id"))).where("_bad = 0")
     return sound.select(*KEY, F.expr("poss5 div 5").alias("poss"), F.expr("points5 div 5").alias("points")), failed
 
 

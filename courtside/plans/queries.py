@@ -388,7 +388,7 @@ def play_by_play_stints(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.col("e.at").cast("string"), F.lit(":00")).alias("PCTIMESTRING"), F.col("e.text").alias("HOMEDESCRIPTION"), *[F.lit(None).cast("string").alias(c) for c in ("NEUTRALDESCRIPTION", "VISITORDESCRIPTION", "SCORE")],
         F.col("e.player").alias("PLAYER1_ID"), F.col("e.team").alias("PLAYER1_TEAM_ID"), *[v.alias(k) for k, v in none.items()],
     )
-    good = possessions.stints_and_failures(events.possession_statistics(rows))[0]
+    good = possessions.stints_and_failures(events.possession_totals(rows))[0]
     return good.groupBy("game_id", (F.col("off_team_id") - 1600000000).cast("int").alias("side")).agg(F.sum("poss").alias("poss"), F.sum("points").alias("points"))
 
 

@@ -13,7 +13,7 @@ from courtside import cli
 from courtside.functions import seasons as S
 from courtside.functions.columns import garbage_time
 from courtside.operators import features, ingest, priors, tune, validate
-from courtside.operators.events import final_scores, game_statistics, possession_statistics, read_events, statistics_or_error
+from courtside.operators.events import final_scores, game_statistics, possession_statistics, possession_totals, read_events, statistics_or_error
 from courtside.operators.possessions import score_warnings, stints_and_failures, stints_strict
 from courtside.operators.rapm import fit_rapm
 from courtside.schema import STAT_ROWS
@@ -186,6 +186,33 @@ def test_every_kind_of_event(spark, tmp_path):
     assert statistics_or_error(torn)["lineup_id"].iat[0].startswith("unreadable")
 
 
+def test_games_are_read_once_and_by_rows(spark, tmp_path):
+    """Games that cross Arrow batches, unknown kinds and unreadable games: totals are the sums of all players' rows."""
+    for k in range(30):
+        write_game(tmp_path, f"k{k:02}", every_kind(f"k{k:02}"))
+    write_game(tmp_path, "odd", play_by_play("odd", odd=99))
+    events = read_events(spark, [str(S.play_by_play_path(tmp_path, g)) for g in (*(f"k{k:02}" for k in range(30)), "odd")])
+    torn = events.where("GAME_ID = 'k00'").withColumns({"GAME_ID": F.lit("torn"), **{f"PLAYER{n}_TEAM_ID": F.lit(AWAY).cast("long") for n in (1, 2, 3)}})
+    events = events.unionByName(torn).cache()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        keys = [c for c in STAT_ROWS.fieldNames() if c not in ("player_id", "stat_value")]
+        rows = possession_statistics(events).toPandas()
+        totals = possession_totals(events).toPandas()
+        made = stints_and_failures(possession_totals(events))
+        good, bad = made[0].toPandas(), [r.game_id for r in made[1].collect()]
+        plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert plan.count("MapInArrow") == 1 and "MapInPandas" not in plan and "FlatMapGroups" not in plan
+    assert set(rows["game_id"]) == {*(f"k{k:02}" for k in range(30)), "torn"}
+    pd.testing.assert_series_equal(rows.groupby(keys)["stat_value"].sum().astype("int64"), totals.groupby(keys)["stat_value"].sum().astype("int64"))
+    assert bad == ["torn"] and len(good) == 30 * 4 and good["poss"].sum() == 30 * 9 and good["points"].sum() == 30 * 11
+    own = events.where("GAME_ID = 'k07'").toPandas()
+    want = game_statistics(own).sort_values([*keys, "player_id"], ignore_index=True)
+    pd.testing.assert_frame_equal(rows[rows["game_id"] == "k07"].sort_values([*keys, "player_id"], ignore_index=True), want, check_dtype=False)
+
+
 def test_build_keeps_warnings_and_batches(spark, tmp_path):
     scope = ("2023-24", "Regular Season")
     games = {"k1": every_kind("k1"), "k2": every_kind("k2", score="3 - 9"), "k3": every_kind("k3")}

@@ -11,8 +11,8 @@ from courtside.schema import LINEUP_SIZE, STINT_COLUMNS
 KEY = STINT_COLUMNS[:6]
 
 
-def matchup_sums(stats: DataFrame) -> DataFrame:
-    """Raw sums per matchup, before the division by the lineup size.
+def matchup_sums(stats: DataFrame, scope: list[str] = ()) -> DataFrame:
+    """Raw sums per matchup, before the division by the lineup size; scope names columns of the game that stay.
 
     Possessions are credited to the offence; opponent points to the team that was scored on, so their roles are swapped.
     Both are summed in one pass, which also keeps matchups with points but no possession.
@@ -20,6 +20,7 @@ def matchup_sums(stats: DataFrame) -> DataFrame:
     swap = F.col("stat_key") == "OpponentPoints"
     pick = lambda a, b: F.when(swap, F.col(b)).otherwise(F.col(a))
     rows = stats.where(F.col("stat_key").isin("OffPoss", "OpponentPoints")).select(
+        *scope,
         "game_id",
         pick("team_id", "opponent_team_id").alias("off_team_id"),
         pick("opponent_team_id", "team_id").alias("def_team_id"),
@@ -29,7 +30,7 @@ def matchup_sums(stats: DataFrame) -> DataFrame:
         F.when(~swap, F.col("stat_value")).otherwise(0).alias("poss"),
         F.when(swap, F.col("stat_value")).otherwise(0).alias("points"),
     )
-    return rows.groupBy(*KEY).agg(F.sum("poss").alias("poss5"), F.sum("points").alias("points5"))
+    return rows.groupBy(*KEY, *scope).agg(F.sum("poss").alias("poss5"), F.sum("points").alias("points5"))
 
 
 def problem():
@@ -39,13 +40,19 @@ def problem():
     )
 
 
-def stints_and_failures(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(stint rows of sound games, (game_id, error) of the others); one bad matchup fails its whole game."""
-    sums = matchup_sums(stats).withColumn("error", problem())
+def sound_and_failed(sums: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stint rows of sound games, (game_id, error) of the others) from matchup_sums(); one bad matchup fails its whole game."""
+    scope = [c for c in sums.columns if c not in (*KEY, "poss5", "points5")]
+    sums = sums.withColumn("error", problem())
     failed = sums.where("error is not null").groupBy("game_id").agg(F.min("error").alias("error"))
     # a window, not a join with the failed games: the sums are made once, and a game has a few thousand matchups at most
     sound = sums.withColumn("_bad", F.count("error").over(Window.partitionBy("game_id"))).where("_bad = 0")
-    return sound.select(*KEY, F.expr("poss5 div 5").alias("poss"), F.expr("points5 div 5").alias("points")), failed
+    return sound.select(*KEY, F.expr("poss5 div 5").alias("poss"), F.expr("points5 div 5").alias("points"), *scope), failed
+
+
+def stints_and_failures(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """sound_and_failed() of possession statistics."""
+    return sound_and_failed(matchup_sums(stats))
 
 
 def stints_strict(stats: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.functions.columns import player_ids
 from courtside.functions.seasons import season_name_col
 
 # Steps between the players of a row (coprime to 60) and the numbers of players and games.
@@ -49,13 +48,17 @@ def stints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return added.select("game_id", team("off_lineup").alias("off_team_id"), team("def_lineup").alias("def_team_id"), "off_lineup", "def_lineup", "garbage", "poss", "points", "season", "season_type")
 
 
-def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Possession statistics, one row per play, player of the credited team and statistic."""
-    own = plays(spark, sf_dir).withColumns({"off_team": F.split("off_lineup", "-")[0].cast("long") % 30 + 1, "def_team": F.split("def_lineup", "-")[0].cast("long") % 30 + 1})
+def statistics(spark: SparkSession, sf_dir: str, by_game: bool = False) -> DataFrame:
+    """Possession statistics, one row per play, player of the credited team and statistic; by_game: a game's in one partition."""
+    own = plays(spark, sf_dir)
+    # plays are dealt out, not the ten rows that each of them becomes
+    own = (own.repartition("game_id") if by_game else own).withColumns({"off_team": F.split("off_lineup", "-")[0].cast("long") % 30 + 1, "def_team": F.split("def_lineup", "-")[0].cast("long") % 30 + 1})
     clock, margin, period = F.when(F.col("garbage"), "02:00").otherwise("10:00"), F.when(F.col("garbage"), 15).otherwise(0).cast("long"), F.lit(4)
-    base = own.select("game_id", F.lit(0).cast("long").alias("poss_idx"), period.alias("period"), clock.alias("start_time"), margin.alias("start_score_margin"), "off_team", "def_team", "off_lineup", "def_lineup", "poss", "points")
-    side = lambda lineup, team, opp, opp_lineup, key, value: base.select("game_id", "poss_idx", "period", "start_time", "start_score_margin", F.explode(player_ids(F.col(lineup))).alias("player_id"), F.col(team).alias("team_id"), F.col(opp).alias("opponent_team_id"), F.col(lineup).alias("lineup_id"), F.col(opp_lineup).alias("opponent_lineup_id"), F.lit(key).alias("stat_key"), F.col(value).alias("stat_value"))
-    return side("off_lineup", "off_team", "def_team", "def_lineup", "OffPoss", "poss").unionByName(side("def_lineup", "def_team", "off_team", "off_lineup", "OpponentPoints", "points"))
+    credit = lambda team, opp, lineup, opp_lineup, key, value: F.struct(F.col(team).alias("team_id"), F.col(opp).alias("opponent_team_id"), F.col(lineup).alias("lineup_id"), F.col(opp_lineup).alias("opponent_lineup_id"), F.lit(key).alias("stat_key"), F.col(value).alias("stat_value"))
+    both = F.array(credit("off_team", "def_team", "off_lineup", "def_lineup", "OffPoss", "poss"), credit("def_team", "off_team", "def_lineup", "off_lineup", "OpponentPoints", "points"))
+    base = own.select("game_id", F.lit(0).cast("long").alias("poss_idx"), period.alias("period"), clock.alias("start_time"), margin.alias("start_score_margin"), F.explode(both).alias("s"))
+    players = F.explode(F.split("s.lineup_id", "-").cast("array<bigint>")).alias("player_id")
+    return base.select("game_id", "poss_idx", "period", "start_time", "start_score_margin", players, "s.*")
 
 
 def features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

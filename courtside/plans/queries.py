@@ -308,9 +308,9 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark)
     end = F.substring("game_id", 2, 4).cast("int")
     kind = F.when(F.substring("game_id", 7, 1) == "p", "Playoffs").otherwise("Regular Season")
-    stats = statistics(spark, d).withColumns({"season": season_name_col(end), "season_type": kind})
     # whole games arrive in one file
-    stats.select(*SCOPED.fieldNames()).repartition("game_id").write.parquet(f"{path}/in")
+    stats = statistics(spark, d, by_game=True).withColumns({"season": season_name_col(end), "season_type": kind})
+    stats.select(*SCOPED.fieldNames()).write.parquet(f"{path}/in")
     ingest_stream(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", files_per_batch=4).awaitTermination()
     return spark.read.parquet(f"{path}/out/stints").drop("batch").withColumn("season", F.col("season").cast("string"))
 

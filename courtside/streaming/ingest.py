@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from courtside.operators.possessions import stints_and_failures
+from courtside.operators.possessions import matchup_sums, sound_and_failed
 from courtside.schema import STAT_ROWS
 
-SCOPED = T.StructType([*STAT_ROWS.fields, T.StructField("season", T.StringType()), T.StructField("season_type", T.StringType())])
+SCOPE = ["season", "season_type"]
+SCOPED = T.StructType([*STAT_ROWS.fields, *[T.StructField(c, T.StringType()) for c in SCOPE]])
 
 
 def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
@@ -22,13 +23,13 @@ def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str
     stats = spark.readStream.schema(SCOPED).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        stints, failed = stints_and_failures(batch.drop("season", "season_type"))
-        scope = batch.select("game_id", "season", "season_type").distinct()
+        # the files are read once: only the sums of matchups, few beside the rows, are stored for the two tables
+        sums = matchup_sums(batch, SCOPE).persist()
+        stints, failed = sound_and_failed(sums)
         own = batch.sparkSession.conf
         own.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        stints.join(scope, "game_id").withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("season", "season_type", "batch").parquet(f"{target}/stints")
+        stints.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy(*SCOPE, "batch").parquet(f"{target}/stints")
         failed.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch").parquet(f"{target}/failed")
-        batch.unpersist()
+        sums.unpersist()
 
     return stats.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -286,6 +286,27 @@ def write_schedule(data_dir, season, kind, rows):
     path.write_text(json.dumps({"resultSets": [{"headers": ["GAME_ID", "TEAM_ID", "PTS", "MATCHUP"], "rowSet": rows}]}))
 
 
+def test_stream_stores_sums_and_deals_out_plays(spark, monkeypatch):
+    """No batch stores its rows, plays are joined once and dealt out before they become ten rows each, games stay in one file."""
+    from courtside.plans import driver, queries
+
+    d, frame, stored = "/root/testdata/sf0.001", type(spark.range(1)), []
+    own = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a, **b: (stored.append(self.columns), own(self, *a, **b))[1])
+    folders = []
+    shared = queries.shared_folder
+    monkeypatch.setattr(queries, "shared_folder", lambda spark: (folders.append(shared(spark)), folders[-1])[1])
+    got = queries.stream_ingest(spark, d)
+    assert stored and not any("stat_value" in c for c in stored)
+    files = spark.read.parquet(f"{folders[0]}/in").select("game_id", F.input_file_name().alias("f")).distinct().toPandas()
+    assert len(files) == files["game_id"].nunique() and spark.read.parquet(f"{folders[0]}/in").count() == 10 * driver.plays(spark, d).count()
+    want, key = driver.stints(spark, d), driver.SCOPE_KEY
+    sums = lambda df: df.groupBy(*key, "off_team_id", "def_team_id").agg(F.sum("poss").alias("poss"), F.sum("points").alias("points")).toPandas().sort_values(key, ignore_index=True)
+    pd.testing.assert_frame_equal(sums(got), sums(want))
+    plan = driver.statistics(spark, d, by_game=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and plan.index("Generate") < plan.index("RepartitionByExpression")
+
+
 def test_validate_and_schedule(spark, tmp_path):
     scope = ("2023-24", "Playoffs")
     assert validate.validate_season(spark, tmp_path, *scope)["problems"]
